@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source jobs are daily batches; they have no stream, watermark, window
+or state. Late-arriving invoices are handled the way the source handles
+them: every run re-extracts the trailing twelve months and replaces that
+window of the history (:mod:`salesmart.plans.refresh`). Nothing is built
+here on purpose.
+"""
