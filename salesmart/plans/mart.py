@@ -66,7 +66,7 @@ def window_invoices(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
 
 
 def invoice_lines(erp: Mapping[str, DataFrame], headers: DataFrame) -> DataFrame:
-    """All lines of the given invoices with quantity, unit price and amount (exact decimals)."""
+    """Lines of the given invoices with quantity, unit price and amount (exact decimals)."""
     return (erp["ra_customer_trx_lines_all"]
             .drop("previous_customer_trx_line_id")
             .join(headers, "customer_trx_id")
@@ -176,71 +176,81 @@ def adjustments(erp: Mapping[str, DataFrame], rules: R.MartRules) -> DataFrame:
                  .alias("adjusting")))
 
 
-def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
-              spark: SparkSession | None = None) -> DataFrame:
-    """The DISTINCT block plus its projection: one row per distinct invoice-line fact.
+def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) -> DataFrame:
+    """Window invoices with every header-level attribute and filter applied.
 
-    Columns: the 36 DISTINCT key columns (see :data:`DISTINCT_KEY`).
+    Orders, operating unit, sold/bill/ship customer and sites, adjustments
+    and the invoice total all hang off the invoice header, so they are
+    joined here, where there is one row per invoice, and the (much larger)
+    line side is joined only once afterwards.
     """
-    any_df = erp["ra_customer_trx_all"]
-    spark = spark or any_df.sparkSession
-    codes = code_list(spark, rules)
-
     headers = window_invoices(erp, as_of, rules)
-    all_lines = invoice_lines(erp, headers)
-
-    # dpp: invoice total over all its lines, every line type
-    dpp = all_lines.groupBy("customer_trx_id").agg(F.sum("price").alias("dpp"))
-
-    rows = (all_lines.filter(F.col("line_type") == "LINE")
-            .join(sales_items(erp, codes, rules), "inventory_item_id")
-            .join(dpp, "customer_trx_id"))
-
     orders = orders_in_scope(erp, headers, rules)
-    rows = (rows.withColumn("_order_number", F.col("ct_reference").try_cast("bigint"))
-            .join(orders, F.col("_order_number") == orders["order_number"])
-            .drop("_order_number", "order_number"))
-
-    rows = rows.join(warehouses(erp), "warehouse_id")
+    # returns gate: both inputs are header-level DISTINCT key columns, so filtering first is exact
+    orders = orders.filter(returns_gate("order_type", "pricelist",
+                                        rules.return_order_pattern, rules.return_pricelist_patterns))
+    h = (headers.withColumn("_order_number", F.col("ct_reference").try_cast("bigint"))
+         .join(orders, F.col("_order_number") == orders["order_number"])
+         .drop("_order_number", "order_number"))
 
     houinv = erp["hr_organization_units"].select(
         F.col("organization_id").alias("org_id"), F.col("name").alias("cabang_dari_invoice"))
-    rows = rows.join(houinv, "org_id").withColumn("organization_id_invoice", F.col("org_id"))
+    h = h.join(houinv, "org_id").withColumn("organization_id_invoice", F.col("org_id"))
 
     sold = account_parties(erp, "inner").select(
         F.col("cust_account_id").alias("sold_to_customer_id"), "account_number",
         F.col("party_name").alias("sold_to_customer"))
-    rows = (rows.join(sold, "sold_to_customer_id")
-            .filter(~F.col("sold_to_customer").isin(list(rules.excluded_customers))))
+    h = (h.join(sold, "sold_to_customer_id")
+         .filter(~F.col("sold_to_customer").isin(list(rules.excluded_customers))))
 
     bill = account_parties(erp, "inner").select(
         F.col("cust_account_id").alias("bill_to_customer_id"),
         F.col("party_name").alias("bill_to_customer"))
-    rows = rows.join(bill, "bill_to_customer_id")
     bill_site = site_cities(erp, "inner").select(
         F.col("site_use_id").alias("bill_to_site_use_id"), F.col("city").alias("bill_city"))
-    rows = rows.join(bill_site, "bill_to_site_use_id")
+    h = h.join(bill, "bill_to_customer_id").join(bill_site, "bill_to_site_use_id")
 
     ship = account_parties(erp, "left").select(
         F.col("cust_account_id").alias("ship_to_customer_id"),
         F.col("party_name").alias("ship_to_customer"))
-    rows = rows.join(ship, "ship_to_customer_id", "left")
     ship_site = site_cities(erp, "left").select(
         F.col("site_use_id").alias("ship_to_site_use_id"), F.col("city").alias("ship_city"))
-    rows = rows.join(ship_site, "ship_to_site_use_id", "left")
-    rows = rows.withColumn("ship_to_city", ship_to_city("sold_to_customer", "kota", "ship_city"))
+    h = (h.join(ship, "ship_to_customer_id", "left").join(ship_site, "ship_to_site_use_id", "left")
+         .withColumn("ship_to_city", ship_to_city("sold_to_customer", "kota", "ship_city"))
+         .drop("ship_city"))
+
+    h = attach(h, adjustments(erp, rules), "customer_trx_id", defaults={"adjusting": 0})
+
+    # dpp: invoice total over all its lines, every line type (narrow columns only)
+    rate = h.select("customer_trx_id", "exchange_rate")
+    dpp = (erp["ra_customer_trx_lines_all"]
+           .select("customer_trx_id", "quantity_invoiced", "quantity_credited", "unit_selling_price")
+           .join(rate, "customer_trx_id")
+           .groupBy("customer_trx_id")
+           .agg(F.sum(line_amount(line_qty("quantity_invoiced", "quantity_credited"),
+                                  unit_price("unit_selling_price", "exchange_rate"))).alias("dpp")))
+    return attach(h, dpp, "customer_trx_id")
 
-    rows = attach(rows, adjustments(erp, rules), "customer_trx_id", defaults={"adjusting": 0})
+
+def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
+              spark: SparkSession | None = None) -> DataFrame:
+    """The DISTINCT block: one row per distinct invoice-line fact.
+
+    Columns: the 36 DISTINCT key columns (see :data:`DISTINCT_KEY`).
+    """
+    spark = spark or erp["ra_customer_trx_all"].sparkSession
+    codes = code_list(spark, rules)
+
+    h = enriched_headers(erp, as_of, rules)
+    rows = (invoice_lines(erp, h)
+            .filter(F.col("line_type") == "LINE")
+            .join(sales_items(erp, codes, rules), "inventory_item_id")
+            .join(warehouses(erp), "warehouse_id"))
 
     ret = returns_rollup(erp["ra_customer_trx_lines_all"], erp["ra_customer_trx_all"])
     rows = (attach(rows, ret, "customer_trx_line_id", "returned_line_id")
             .withColumn("qty_retur", F.coalesce(F.col("qty_retur_sum"),
                                                 F.lit(0).cast("decimal(28,2)"))))
-
-    # returns gate: both inputs are DISTINCT key columns, so filtering first is exact
-    rows = rows.filter(returns_gate("order_type", "pricelist",
-                                    rules.return_order_pattern, rules.return_pricelist_patterns))
-
     return rows.select(*DISTINCT_KEY).distinct()
 
 

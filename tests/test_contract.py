@@ -1,0 +1,72 @@
+"""Column contract: rename map, lower-case, missing/extra, dates, fill, typed target."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart import rules as R
+from salesmart.plans import contract as C
+
+
+def test_rename_ignores_unknown_and_lower_fixes_unquoted_aliases(spark):  # P3, P4
+    df = spark.createDataFrame([(1, 2, 3)], "`No. SO` int, PRICELIST int, Other int")
+    out = C.lower_columns(C.rename_columns(df, R.DISPLAY_TO_CONTRACT))
+    assert out.columns == ["no_so", "pricelist", "other"]
+
+
+def test_missing_column_fails_extra_is_reported(spark):  # P5
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert C.column_report(df, ["a", "c"]) == (["c"], ["b"])
+    with pytest.raises(C.ContractError):
+        C.check_columns(df, ["a", "c"])
+    assert C.check_columns(df, ["a"]) == ["b"]
+
+
+def test_dates_converted_when_present(spark):  # P6, X22
+    df = spark.createDataFrame([("2001-02-03 04:05:06", "bad")], "tgl_invoice string, tgl_so string")
+    out = C.to_timestamps(df, ["tgl_invoice", "tgl_so", "absent"])
+    r = out.collect()[0]
+    assert r.tgl_invoice == dt.datetime(2001, 2, 3, 4, 5, 6) and r.tgl_so is None
+    assert dict(out.dtypes)["tgl_invoice"] == "timestamp_ntz"
+
+
+def test_fill_strings_only(spark):  # P7, T8
+    df = spark.createDataFrame([(None, None, None)], "s string, n decimal(10,2), d date")
+    r = C.fill_strings(df).collect()[0]
+    assert (r.s, r.n, r.d) == ("", None, None)
+
+
+def test_apply_contract_types_and_varchar(spark):  # S6
+    ddl = [("ID", "NUMERIC"), ("NAME", "VARCHAR(5)"), ("D", "DATE"), ("LAT", "NUMERIC(12,8)")]
+    ok = spark.createDataFrame([(1, "abc", dt.date(2001, 1, 1), 1.5)], "ID long, NAME string, D date, LAT double")
+    out = C.apply_contract(ok, ddl)
+    assert out.dtypes == [("ID", "decimal(38,10)"), ("NAME", "string"), ("D", "date"), ("LAT", "decimal(12,8)")]
+    assert out.collect()[0].LAT == Decimal("1.50000000")
+    long_name = spark.createDataFrame([(1, "abcdef", None, None)], "ID long, NAME string, D date, LAT double")
+    with pytest.raises(Exception, match="value too long"):
+        C.apply_contract(long_name, ddl).collect()
+
+
+def test_target_b_ddl_helpers():
+    assert len(R.TRANSACTIONS_DDL) == 32
+    names = [c for c, _ in R.TRANSACTIONS_DDL]
+    assert names.index("LINE_NUMBER") == names.index("CUSTOMER_PROVINCE") + 1
+    text = C.create_table_ddl("mb.khs_customer_transactions", R.TRANSACTIONS_DDL)
+    assert text.startswith("CREATE TABLE IF NOT EXISTS mb.khs_customer_transactions")
+    assert "`INVOICE_NUMBER` VARCHAR(20)" in text
+    assert C.jdbc_column_types(R.TRANSACTIONS_DDL[:2]) == "REQUEST_ID NUMERIC, REQUEST_DATE DATE"
+
+
+def test_create_table_in_schema(spark, tmp_path):  # S6, S13
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS mb LOCATION '{tmp_path}/mb'")
+    spark.sql(C.create_table_ddl("mb.khs_customer_transactions", R.TRANSACTIONS_DDL))
+    spark.sql(C.create_table_ddl("mb.khs_customer_transactions", R.TRANSACTIONS_DDL))  # if not exists
+    cols = spark.table("mb.khs_customer_transactions").columns
+    assert len(cols) == 32
+    # Spark enforces VARCHAR(n) on table inserts, as the target database does
+    df = spark.createDataFrame([("X" * 21,)], "INVOICE_NUMBER string")
+    full = df.select(*[F.lit(None).alias(c) if c != "INVOICE_NUMBER" else F.col(c) for c in cols])
+    with pytest.raises(Exception):
+        full.write.insertInto("mb.khs_customer_transactions")
