@@ -8,13 +8,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "salesmart") -> SparkSession:
-    """A local session for tests and benchmarks (the cluster brings its own)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "salesmart",
+                  broadcast_bytes: int = 64 << 20) -> SparkSession:
+    """A local session for tests and benchmarks (a cluster brings its own settings).
+
+    Single node: one JVM holds every "executor", so broadcasting a side of
+    up to ``broadcast_bytes`` (Spark still checks the size) is cheaper than a
+    shuffle through local disk.
+    """
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .config("spark.sql.autoBroadcastJoinThreshold", str(broadcast_bytes))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g")

@@ -76,14 +76,21 @@ def ddl(name: str) -> str:
 def narrow(df: DataFrame, name: str) -> DataFrame:
     """Select the spec's columns (case-insensitively) and cast them to the spec's types.
 
-    Column pruning and the casts are plain projections, so they do not stop
-    filter pushdown into the scan.
+    One ``selectExpr`` (a cast only where the type differs); column pruning
+    and casts are plain projections, so they do not stop filter pushdown.
     """
-    by_lower = {c.lower(): c for c in df.columns}
-    missing = [c for c, _ in ERP_SCHEMAS[name] if c not in by_lower]
+    fields = {f.name.lower(): f for f in df.schema.fields}
+    missing = [c for c, _ in ERP_SCHEMAS[name] if c not in fields]
     if missing:
         raise ValueError(f"{name}: missing source columns {missing}")
-    return df.select(*[F.col(by_lower[c]).cast(t).alias(c) for c, t in ERP_SCHEMAS[name]])
+    exprs = []
+    for c, t in ERP_SCHEMAS[name]:
+        f = fields[c]
+        if f.dataType.simpleString() == t and f.name == c:
+            exprs.append(f"`{c}`")
+        else:
+            exprs.append(f"CAST(`{f.name}` AS {t}) AS `{c}`")
+    return df.selectExpr(*exprs)
 
 
 class ErpTables(Mapping):
