@@ -46,6 +46,25 @@ def add_months_oracle(d: ColumnOrName, months: int | Column) -> Column:
     return F.when(day == F.last_day(day), F.last_day(shifted)).otherwise(shifted)
 
 
+def add_months_date(d: _dt.date, months: int) -> _dt.date:
+    """``ADD_MONTHS`` on a Python date, with the month-end rule (for arguments and literals)."""
+    y, m = divmod(d.month - 1 + months, 12)
+    y, m = d.year + y, m + 1
+
+    def last_day(yy: int, mm: int) -> int:
+        nxt = _dt.date(yy + (mm == 12), mm % 12 + 1, 1)
+        return (nxt - _dt.timedelta(days=1)).day
+
+    if d.day == last_day(d.year, d.month):
+        return _dt.date(y, m, last_day(y, m))
+    return _dt.date(y, m, min(d.day, last_day(y, m)))
+
+
+def window_start(as_of, months: int) -> _dt.datetime:
+    """First instant of the trailing window: midnight of ``ADD_MONTHS(TRUNC(as_of), -months)``."""
+    return _dt.datetime.combine(add_months_date(_as_date(as_of), -months), _dt.time())
+
+
 def trailing_window_bounds(as_of: _dt.date | str, months: int) -> tuple[Column, Column]:
     """``[TRUNC(ADD_MONTHS(as_of, -months)), TRUNC(as_of)]`` as date literals.
 

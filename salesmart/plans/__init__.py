@@ -3,12 +3,14 @@
 from .contract import (ContractError, apply_contract, check_columns, column_report, fill_strings,
                        lower_columns, normalise_mart, rename_columns, to_timestamps)
 from .export import export_delimited, read_delimited
+from .jobs import copy_transactions, copy_transactions_jdbc, refresh_sales_mart
 from .mart import mart_rows, ordered_report, sales_mart, sales_mart_display
 from .refresh import History, PublishError, RefreshReport, survivors
 
 __all__ = [
     "ContractError", "History", "PublishError", "RefreshReport", "apply_contract",
-    "check_columns", "column_report", "export_delimited", "fill_strings", "lower_columns",
-    "mart_rows", "normalise_mart", "ordered_report", "read_delimited", "rename_columns",
+    "check_columns", "column_report", "copy_transactions", "copy_transactions_jdbc", "export_delimited", "fill_strings", "lower_columns",
+    "mart_rows", "normalise_mart", "ordered_report", "read_delimited", "refresh_sales_mart",
+    "rename_columns",
     "sales_mart", "sales_mart_display", "survivors", "to_timestamps",
 ]

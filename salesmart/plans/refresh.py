@@ -125,13 +125,19 @@ class History:
         (self.spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1)
          .write.mode("errorifexists").text(f"{self.root}/_versions/v={version:010d}"))
 
-    def full_replace(self, df: DataFrame) -> RefreshReport:
-        """Replace everything with ``df`` (TRUNCATE + load, in one publish step)."""
+    def full_replace(self, df: DataFrame, *, expected_rows: int | None = None) -> RefreshReport:
+        """Replace everything with ``df`` (TRUNCATE + load, in one publish step).
+
+        ``expected_rows`` is a control total taken separately from the source
+        (``COUNT(*)``); when the rows written differ, nothing is published.
+        """
         version = self.version() + 1
         run_dir = f"{self.root}/runs/run={version:010d}"
         obs = Observation("full_replace")
         df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(run_dir)
         n = obs.get["n"]
+        if expected_rows is not None and n != expected_rows:
+            raise PublishError(f"control total {expected_rows} != rows written {n}; nothing was published")
         report = RefreshReport(version, "full", rows_fresh=n, rows_written=n, paths=[run_dir])
         self._publish(version, [run_dir], df.schema, report)
         return report

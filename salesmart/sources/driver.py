@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..rules import EXCLUDED_CUSTOMERS
 from .tables import ErpTables, frames
 
 
@@ -184,7 +185,8 @@ ERP_VIEWS: dict[str, View] = {
         "customer",
         (
             'c_custkey AS party_id',
-            "CASE WHEN c_acctbal < 0 THEN 'KHS DEMO' WHEN c_mktsegment = 'BUILDING' THEN c_name || ' Eceran' ELSE c_name END AS party_name",
+            f"CASE WHEN c_acctbal < 0 THEN '{EXCLUDED_CUSTOMERS[1]}' WHEN c_mktsegment = 'BUILDING' "
+            "THEN c_name || ' Eceran' ELSE c_name END AS party_name",
         ),
     ),
     "hz_cust_accounts_all": View(

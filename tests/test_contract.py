@@ -53,20 +53,20 @@ def test_target_b_ddl_helpers():
     assert len(R.TRANSACTIONS_DDL) == 32
     names = [c for c, _ in R.TRANSACTIONS_DDL]
     assert names.index("LINE_NUMBER") == names.index("CUSTOMER_PROVINCE") + 1
-    text = C.create_table_ddl("mb.khs_customer_transactions", R.TRANSACTIONS_DDL)
-    assert text.startswith("CREATE TABLE IF NOT EXISTS mb.khs_customer_transactions")
+    text = C.create_table_ddl("mb.customer_transactions", R.TRANSACTIONS_DDL)
+    assert text.startswith("CREATE TABLE IF NOT EXISTS mb.customer_transactions")
     assert "`INVOICE_NUMBER` VARCHAR(20)" in text
     assert C.jdbc_column_types(R.TRANSACTIONS_DDL[:2]) == "REQUEST_ID NUMERIC, REQUEST_DATE DATE"
 
 
 def test_create_table_in_schema(spark, tmp_path):  # S6, S13
     spark.sql(f"CREATE DATABASE IF NOT EXISTS mb LOCATION '{tmp_path}/mb'")
-    spark.sql(C.create_table_ddl("mb.khs_customer_transactions", R.TRANSACTIONS_DDL))
-    spark.sql(C.create_table_ddl("mb.khs_customer_transactions", R.TRANSACTIONS_DDL))  # if not exists
-    cols = spark.table("mb.khs_customer_transactions").columns
+    spark.sql(C.create_table_ddl("mb.customer_transactions", R.TRANSACTIONS_DDL))
+    spark.sql(C.create_table_ddl("mb.customer_transactions", R.TRANSACTIONS_DDL))  # if not exists
+    cols = spark.table("mb.customer_transactions").columns
     assert len(cols) == 32
     # Spark enforces VARCHAR(n) on table inserts, as the target database does
     df = spark.createDataFrame([("X" * 21,)], "INVOICE_NUMBER string")
     full = df.select(*[F.lit(None).alias(c) if c != "INVOICE_NUMBER" else F.col(c) for c in cols])
     with pytest.raises(Exception):
-        full.write.insertInto("mb.khs_customer_transactions")
+        full.write.insertInto("mb.customer_transactions")

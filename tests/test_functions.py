@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart import rules as R
 from salesmart import functions as SF
 from salesmart.functions import labels
 
@@ -132,14 +133,14 @@ def test_branch_code(spark, ot, expected):  # X3, X12
     assert one(spark, SF.branch_code(F.col("x")), value=ot) == expected
 
 
-@pytest.mark.parametrize("name,expected", [("KHS Jakarta (OU)", "Jakarta"), ("HO (OU)", None),
-                                           ("AB", None), ("KHS  Medan  ", "Medan")])
+@pytest.mark.parametrize("name,expected", [("PTX Jakarta (OU)", "Jakarta"), ("HO (OU)", None),
+                                           ("AB", None), ("PTX  Medan  ", "Medan")])
 def test_org_label_empty_is_null(spark, name, expected):  # X8-X10, T14
     assert one(spark, SF.org_label(F.col("x")), value=name) == expected
 
 
 def test_branch_label_variants(spark):  # C5 / C9
-    df = spark.createDataFrame([("A LN", "KHS Jkt (OU)"), ("A DN", "KHS Jkt (OU)"), ("A XX", "KHS Jkt (OU)")],
+    df = spark.createDataFrame([("A LN", "PTX Jkt (OU)"), ("A DN", "PTX Jkt (OU)"), ("A XX", "PTX Jkt (OU)")],
                                "ot string, org string")
     got = df.select(SF.branch_label("ot", "org", domestic_only=False).alias("a"),
                     SF.branch_label("ot", "org", domestic_only=True).alias("b")).collect()
@@ -178,8 +179,8 @@ def test_not_like_rejects_null(spark):  # F7
 
 
 def test_not_in_rejects_null(spark):  # F3
-    df = spark.createDataFrame([("KHS DEMO",), ("Toko A",), (None,)], "n string")
-    got = [r.n for r in df.filter(~F.col("n").isin(["KHS DEMO"])).collect()]
+    df = spark.createDataFrame([(R.EXCLUDED_CUSTOMERS[1],), ("Toko A",), (None,)], "n string")
+    got = [r.n for r in df.filter(~F.col("n").isin([R.EXCLUDED_CUSTOMERS[1]])).collect()]
     assert got == ["Toko A"]
 
 

@@ -39,9 +39,9 @@ def test_typed_target_created_with_contract_types(spark, url):  # S6, B job
     ddl = [c for c in R.TRANSACTIONS_DDL if c[0] in ("REQUEST_ID", "INVOICE_NUMBER", "REQUEST_DATE")]
     src = spark.createDataFrame([(1, "INV-1", None)], "REQUEST_ID long, INVOICE_NUMBER string, REQUEST_DATE date")
     out = apply_contract(src, ddl)
-    write_jdbc(out, url, "KHS_TX", mode="overwrite", properties=DRIVER,
+    write_jdbc(out, url, "TX_COPY", mode="overwrite", properties=DRIVER,
                column_types="INVOICE_NUMBER VARCHAR(20)")
-    back = read_jdbc(spark, url, "KHS_TX", properties=DRIVER)
+    back = read_jdbc(spark, url, "TX_COPY", properties=DRIVER)
     r = back.collect()[0]
     assert r.INVOICE_NUMBER == "INV-1" and r.REQUEST_ID == Decimal("1")
     assert jdbc_column_types(ddl).startswith("REQUEST_ID NUMERIC")

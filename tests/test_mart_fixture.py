@@ -114,3 +114,15 @@ def test_duplicate_price_list_fails_like_a_scalar_subquery(spark, erp_root):  #
         spark.createDataFrame([(1, "SP Reguler ENG")], tabs["qp_list_headers_tl"].schema))
     with pytest.raises(Exception, match="more than one row"):
         sales_mart(frames(tabs), FX.AS_OF).collect()
+
+
+def test_job_a_on_fixture_is_idempotent(spark, erp_root, tmp_path):  # job A end to end
+    from salesmart.plans import History, refresh_sales_mart
+    erp = parquet_tables(spark, erp_root)
+    root = str(tmp_path / "mart")
+    r1 = refresh_sales_mart(spark, erp, root, FX.AS_OF)
+    assert r1.rows_written == len(FX.EXPECTED)
+    first = sorted(map(tuple, edge(History(spark, root).read()).collect()), key=str)
+    r2 = refresh_sales_mart(spark, erp, root, FX.AS_OF)
+    assert r2.rows_deleted == len(FX.EXPECTED) and r2.rows_fresh == len(FX.EXPECTED)
+    assert sorted(map(tuple, edge(History(spark, root).read()).collect()), key=str) == first

@@ -119,3 +119,29 @@ def test_full_replace(spark, tmp_path):  # S7, S8, S14
     assert h.read().count() == 10  # replaced, not appended
     assert h.version() == 2
     assert os.path.isdir(str(tmp_path / "full" / "runs" / "run=0000000001"))  # old run kept
+
+
+def _transactions(spark, n):
+    from salesmart import rules as R
+    cols = []
+    for c, t in R.TRANSACTIONS_DDL:
+        if t == "DATE":
+            cols.append(F.lit("2001-01-01").cast("date").alias(c))
+        elif t.startswith("VARCHAR"):
+            cols.append(F.concat(F.lit(c[:3]), F.col("id").cast("string")).alias(c))
+        else:
+            cols.append(F.col("id").alias(c))
+    return spark.range(n).select(*cols)
+
+
+def test_copy_transactions_reconciles(spark, tmp_path):  # job B, S3, T21
+    from salesmart.plans import copy_transactions
+    src = _transactions(spark, 1234)
+    r = copy_transactions(src, str(tmp_path / "tx"))
+    assert r.rows_written == 1234
+    h = History(spark, str(tmp_path / "tx"), date_col=None)
+    assert dict(h.read().dtypes)["INVOICE_NUMBER"] == "string"
+    assert dict(h.read().dtypes)["REQUEST_ID"] == "decimal(38,10)"
+    with pytest.raises(PublishError, match="control total"):
+        copy_transactions(src, str(tmp_path / "tx"), control_total=1000)
+    assert h.version() == 1 and h.read().count() == 1234  # the failed copy published nothing
