@@ -221,8 +221,9 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
 
     h = attach(h, adjustments(erp, rules), "customer_trx_id", defaults={"adjusting": 0})
 
-    # dpp: invoice total over all its lines, every line type (narrow columns only)
-    rate = h.select("customer_trx_id", "exchange_rate")
+    # dpp: invoice total over all its lines, every line type (narrow columns only). Keyed on
+    # the plain window headers, not on ``h``, so the enrichment above is not planned twice.
+    rate = headers.select("customer_trx_id", "exchange_rate")
     dpp = (erp["ra_customer_trx_lines_all"]
            .select("customer_trx_id", "quantity_invoiced", "quantity_credited", "unit_selling_price")
            .join(rate, "customer_trx_id")
