@@ -90,7 +90,7 @@ ERP_VIEWS: dict[str, View] = {
             "'PART-' || CAST(l_partkey AS STRING) AS description",
             "CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_quantity AS DECIMAL(18,2)) END AS quantity_invoiced",
             "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN CAST(0.0 - l_quantity AS DECIMAL(18,2)) END AS quantity_credited",
-            'CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,6)) AS unit_selling_price',
+            'CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,6)) AS unit_selling_price',
             "CASE WHEN l_tax = 0.0 THEN NULL WHEN l_tax = 0.08 THEN 'PPN-10-11' ELSE 'PPN-' || CAST(CAST(round(l_tax * 100) AS INT) + 6 AS STRING) END AS tax_classification_code",
             'l_suppkey AS warehouse_id',
         ),

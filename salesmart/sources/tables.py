@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ERP_SCHEMAS: dict[str, list[tuple[str, str]]] = {
     "ra_customer_trx_all": [
