@@ -13,6 +13,7 @@ pass through it.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from .contract import apply_contract, jdbc_column_types
 from .mart import sales_mart
 from .refresh import History, PublishError, RefreshReport
 
+log = logging.getLogger(__name__)
+
 
 def refresh_sales_mart(spark: SparkSession, erp: Mapping[str, DataFrame], history_root: str,
                        as_of: dt.date | str, *, rules: R.MartRules = R.DEFAULT_RULES,
@@ -37,8 +40,12 @@ def refresh_sales_mart(spark: SparkSession, erp: Mapping[str, DataFrame], histor
     fresh = sales_mart(erp, as_of, rules, spark)
     if cutoff is None:
         cutoff = window_start(as_of, rules.window_months)
-    return History(spark, history_root, date_col="tgl_invoice").window_replace(
+    report = History(spark, history_root, date_col="tgl_invoice").window_replace(
         fresh, cutoff, protect=protect)
+    log.info("sales mart v%d: extracted %d, deleted %d, kept %d in rewritten months, total written %d",
+             report.version, report.rows_fresh, report.rows_deleted,
+             report.rows_written - report.rows_fresh, report.rows_written)
+    return report
 
 
 def copy_transactions(source: DataFrame, history_root: str, *,
@@ -52,7 +59,10 @@ def copy_transactions(source: DataFrame, history_root: str, *,
     spark = source.sparkSession
     typed = apply_contract(source, ddl)
     expected = control_total if control_total is not None else source.agg(F.count(F.lit(1))).first()[0]
-    return History(spark, history_root, date_col=None).full_replace(typed, expected_rows=expected)
+    report = History(spark, history_root, date_col=None).full_replace(typed, expected_rows=expected)
+    log.info("transactions v%d: %d rows copied (control total %d)", report.version,
+             report.rows_written, expected)
+    return report
 
 
 def copy_transactions_jdbc(source: DataFrame, url: str, table: str, *, properties=None,
@@ -76,4 +86,5 @@ def copy_transactions_jdbc(source: DataFrame, url: str, table: str, *, propertie
         F.count(F.lit(1))).first()[0]
     if loaded != expected:
         raise PublishError(f"control total {expected} != rows loaded {loaded}")
+    log.info("%s: %d rows loaded (control total %d)", table, loaded, expected)
     return loaded

@@ -76,3 +76,16 @@ def test_whole_mart_from_jdbc_sources(spark, url, tmp_path):  # S1 over JDBC, en
     want = edge(sales_mart(frames(FX.erp_frames(spark)), FX.AS_OF))
     assert got.count() == len(FX.EXPECTED)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_copy_transactions_jdbc_reconciles(spark, url):  # job B into a database table
+    from salesmart.plans import PublishError, copy_transactions_jdbc
+    from tests.test_refresh import _transactions
+
+    src = _transactions(spark, 2500)
+    assert copy_transactions_jdbc(src, url, "CUSTOMER_TRANSACTIONS", properties=DRIVER, batchsize=1000) == 2500
+    back = read_jdbc(spark, url, "CUSTOMER_TRANSACTIONS", properties=DRIVER)
+    assert len(back.columns) == 32 and back.count() == 2500
+    # a second run truncates and reloads; a wrong control total fails after the load
+    with pytest.raises(PublishError):
+        copy_transactions_jdbc(src.limit(10), url, "CUSTOMER_TRANSACTIONS", properties=DRIVER, control_total=11)
