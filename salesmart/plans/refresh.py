@@ -52,9 +52,27 @@ class RefreshReport:
     paths: list[str] = field(default_factory=list)
 
 
-def delete_predicate(date_col: str, cutoff, protect: tuple[str, int] | None) -> Column:
+def cutoff_literal(value, dtype: T.DataType | None = None) -> Column:
+    """The cutoff as a literal of the date column's type, built from ISO text.
+
+    A Python ``datetime`` literal goes through the process's local time
+    zone; text cast to ``timestamp_ntz``/``date`` does not depend on any zone.
+    """
+    if isinstance(value, (dt.datetime, dt.date)):
+        text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
+    else:
+        text = str(value)
+    if isinstance(dtype, T.DateType):
+        return F.lit(text[:10]).cast("date")
+    if isinstance(dtype, T.TimestampType):
+        return F.lit(text).cast("timestamp")
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def delete_predicate(date_col: str, cutoff, protect: tuple[str, int] | None,
+                     dtype: T.DataType | None = None) -> Column:
     """``date >= :cutoff AND year <> :protected`` (null when an input is null)."""
-    pred = F.col(date_col) >= F.lit(cutoff)
+    pred = F.col(date_col) >= cutoff_literal(cutoff, dtype)
     if protect is not None:
         pred = pred & (F.col(protect[0]) != F.lit(protect[1]))
     return pred
@@ -62,11 +80,12 @@ def delete_predicate(date_col: str, cutoff, protect: tuple[str, int] | None) ->
 
 def survivors(df: DataFrame, date_col: str, cutoff, protect: tuple[str, int] | None) -> DataFrame:
     """Rows a SQL ``DELETE … WHERE pred`` keeps: those where ``pred`` is not true (null stays)."""
-    return df.filter(~F.coalesce(delete_predicate(date_col, cutoff, protect), F.lit(False)))
+    dtype = df.schema[date_col].dataType
+    return df.filter(~F.coalesce(delete_predicate(date_col, cutoff, protect, dtype), F.lit(False)))
 
 
-def deleted_count_expr(date_col: str, cutoff, protect) -> Column:
-    return F.sum(F.coalesce(delete_predicate(date_col, cutoff, protect), F.lit(False)).cast("long"))
+def deleted_count_expr(date_col: str, cutoff, protect, dtype: T.DataType | None = None) -> Column:
+    return F.sum(F.coalesce(delete_predicate(date_col, cutoff, protect, dtype), F.lit(False)).cast("long"))
 
 
 def month_of(date_col: str) -> Column:
@@ -170,7 +189,8 @@ class History:
             old = self.spark.read.schema(schema).parquet(*rewrite)
             old_obs = Observation("window_before")
             old = old.observe(old_obs, F.count(F.lit(1)).alias("n"),
-                              deleted_count_expr(dcol, cutoff, protect).alias("deleted"))
+                              deleted_count_expr(dcol, cutoff, protect, schema[dcol].dataType)
+                              .alias("deleted"))
             kept = survivors(old, dcol, cutoff, protect).withColumn("_fresh", F.lit(0))
             combined = kept.unionByName(tagged_fresh)
         else:
