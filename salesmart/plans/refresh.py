@@ -153,7 +153,9 @@ class History:
         version = self.version() + 1
         run_dir = f"{self.root}/runs/run={version:010d}"
         obs = Observation("full_replace")
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(run_dir)
+        # rebalance: AQE sizes the output files (no file per task, no giant file)
+        (df.observe(obs, F.count(F.lit(1)).alias("n")).hint("rebalance")
+         .write.mode("overwrite").parquet(run_dir))
         n = obs.get["n"]
         if expected_rows is not None and n != expected_rows:
             raise PublishError(f"control total {expected_rows} != rows written {n}; nothing was published")
@@ -206,7 +208,9 @@ class History:
                                & (F.col("month") != F.lit(NULL_MONTH))).cast("long")).alias("early"))
                .drop("_fresh"))
         run_dir = f"{self.root}/runs/run={version:010d}"
-        out.write.mode("overwrite").partitionBy("month").parquet(run_dir)
+        # rebalance by month: files per month follow its size (AQE splits a big month into
+        # advisory-size pieces and merges small ones) instead of one file per task and month
+        out.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(run_dir)
 
         m = out_obs.get
         if (m.get("early") or 0) > 0:
