@@ -89,3 +89,20 @@ def test_copy_transactions_jdbc_reconciles(spark, url):  # job B into a database
     # a second run truncates and reloads; a wrong control total fails after the load
     with pytest.raises(PublishError):
         copy_transactions_jdbc(src.limit(10), url, "CUSTOMER_TRANSACTIONS", properties=DRIVER, control_total=11)
+
+
+def test_window_filter_reaches_the_database(spark, url):  # F10 over JDBC: no full-table pull
+    from salesmart import rules as R
+    from salesmart.plans.mart import window_invoices
+    from tests import erp_fixture as FX
+
+    tabs = FX.erp_frames(spark)
+    write_jdbc(tabs["ra_customer_trx_all"], url, "RA_CUSTOMER_TRX_ALL", mode="overwrite", properties=DRIVER)
+    # VARCHAR, not Spark's Derby default CLOB, so the IN filter on the name can be pushed too
+    write_jdbc(tabs["ra_cust_trx_types_all"], url, "RA_CUST_TRX_TYPES_ALL", mode="overwrite",
+               properties=DRIVER, column_types="name VARCHAR(100)")
+    erp = jdbc_tables(spark, url, properties=DRIVER)
+    df = window_invoices(erp, FX.AS_OF, R.DEFAULT_RULES)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "*GreaterThanOrEqual(trx_date," in plan and "*LessThan(trx_date," in plan
+    assert sorted(r.customer_trx_id for r in df.collect()) == [1, 2, 3, 5, 7, 8, 9, 10, 11, 12, 13, 20, 21]
