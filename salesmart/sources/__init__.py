@@ -1,10 +1,11 @@
 """Sources and sinks: ERP tables from parquet or JDBC, driver-table views."""
 
 from .driver import DRIVER_AS_OF, driver_erp, driver_frames, duckdb_ctes
-from .jdbc import jdbc_tables, read_jdbc, write_jdbc
+from .jdbc import jdbc_tables, partition_bounds, read_jdbc, write_jdbc
 from .tables import ERP_SCHEMAS, ErpTables, frames, narrow, parquet_tables
 
 __all__ = [
     "DRIVER_AS_OF", "ERP_SCHEMAS", "ErpTables", "driver_erp", "driver_frames", "duckdb_ctes",
-    "frames", "jdbc_tables", "narrow", "parquet_tables", "read_jdbc", "write_jdbc",
+    "frames", "jdbc_tables", "narrow", "parquet_tables", "partition_bounds", "read_jdbc",
+    "write_jdbc",
 ]

@@ -41,10 +41,30 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: Mapping[
     return reader.load()
 
 
+def partition_bounds(spark: SparkSession, url: str, table: str, column: str, *,
+                     properties: Mapping[str, str] | None = None,
+                     quote: bool = False) -> tuple[int, int] | None:
+    """``(MIN(column), MAX(column))`` computed by the database: one row comes back.
+
+    ``quote`` wraps the column in double quotes (for case-sensitive names).
+    """
+    col = f'"{column}"' if quote else column
+    probe = read_jdbc(spark, url, f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) b",
+                      properties=properties).first()
+    if probe is None or probe[0] is None:
+        return None
+    return int(probe[0]), int(probe[1])
+
+
 def jdbc_tables(spark: SparkSession, url: str, *, schema: str | None = None,
                 properties: Mapping[str, str] | None = None,
-                partitioning: Mapping[str, tuple[str, int, int, int]] | None = None) -> ErpTables:
-    """ERP tables read over JDBC; ``partitioning[table] = (column, lo, hi, n)``."""
+                partitioning: Mapping[str, tuple] | None = None,
+                quote_identifiers: bool = False) -> ErpTables:
+    """ERP tables read over JDBC.
+
+    ``partitioning[table] = (column, lo, hi, n)`` splits a table into ``n``
+    range queries; ``(column, n)`` asks the database for the bounds first.
+    """
     partitioning = partitioning or {}
 
     def load(name: str) -> DataFrame:
@@ -52,8 +72,12 @@ def jdbc_tables(spark: SparkSession, url: str, *, schema: str | None = None,
         part = partitioning.get(name)
         kwargs = {}
         if part:
-            kwargs = dict(partition_column=part[0], lower_bound=part[1], upper_bound=part[2],
-                          num_partitions=part[3])
+            column, n = part[0], part[-1]
+            bounds = part[1:3] if len(part) == 4 else partition_bounds(
+                spark, url, qualified, column, properties=properties, quote=quote_identifiers)
+            if bounds is not None:
+                kwargs = dict(partition_column=column, lower_bound=bounds[0], upper_bound=bounds[1],
+                              num_partitions=n)
         return read_jdbc(spark, url, qualified, properties=properties, **kwargs)
 
     return ErpTables(load)

@@ -70,8 +70,13 @@ def test_whole_mart_from_jdbc_sources(spark, url, tmp_path):  # S1 over JDBC, en
     props = dict(DRIVER, pushDownPredicate="false")
     erp = jdbc_tables(spark, url, properties=props, partitioning={
         "ra_customer_trx_lines_all": ("customer_trx_line_id", 100, 2200, 3),
-        "ra_customer_trx_all": ("customer_trx_id", 1, 21, 2)})
+        "ra_customer_trx_all": ("customer_trx_id", 2)},  # bounds asked from the database
+        quote_identifiers=True)  # Spark created lower-case quoted column names in Derby
     assert erp["ra_customer_trx_lines_all"].rdd.getNumPartitions() == 3
+    assert erp["ra_customer_trx_all"].rdd.getNumPartitions() == 2
+    from salesmart.sources import partition_bounds
+    assert partition_bounds(spark, url, "RA_CUSTOMER_TRX_ALL", "customer_trx_id", properties=props,
+                            quote=True) == (1, 21)
     got = edge(sales_mart(erp, FX.AS_OF))
     want = edge(sales_mart(frames(FX.erp_frames(spark)), FX.AS_OF))
     assert got.count() == len(FX.EXPECTED)
