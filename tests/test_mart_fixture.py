@@ -126,3 +126,16 @@ def test_job_a_on_fixture_is_idempotent(spark, erp_root, tmp_path):  # job A end
     r2 = refresh_sales_mart(spark, erp, root, FX.AS_OF)
     assert r2.rows_deleted == len(FX.EXPECTED) and r2.rows_fresh == len(FX.EXPECTED)
     assert sorted(map(tuple, edge(History(spark, root).read()).collect()), key=str) == first
+
+
+def test_command_line_mart_refresh(spark, erp_root, tmp_path, capsys):  # the scheduler's entry point
+    import json
+
+    from salesmart.__main__ import main
+    from salesmart.plans import History
+
+    root = str(tmp_path / "cli")
+    assert main(["mart-refresh", "--erp-parquet", erp_root, "--history", root, "--as-of", FX.AS_OF]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["rows_fresh"] == len(FX.EXPECTED) and report["version"] == 1
+    assert History(spark, root).read().count() == len(FX.EXPECTED)
