@@ -141,8 +141,10 @@ class History:
         doc = {"version": version, "paths": paths, "schema": schema.json(),
                "mode": report.mode, "rows_written": report.rows_written,
                "rows_deleted": report.rows_deleted, "rows_fresh": report.rows_fresh}
+        # version = highest committed + 1, so an existing folder of that name can only be the
+        # uncommitted leftover of a crashed run: overwrite it
         (self.spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1)
-         .write.mode("errorifexists").text(f"{self.root}/_versions/v={version:010d}"))
+         .write.mode("overwrite").text(f"{self.root}/_versions/v={version:010d}"))
 
     def full_replace(self, df: DataFrame, *, expected_rows: int | None = None) -> RefreshReport:
         """Replace everything with ``df`` (TRUNCATE + load, in one publish step).

@@ -145,3 +145,15 @@ def test_copy_transactions_reconciles(spark, tmp_path):  # job B, S3, T21
     with pytest.raises(PublishError, match="control total"):
         copy_transactions(src, str(tmp_path / "tx"), control_total=1000)
     assert h.version() == 1 and h.read().count() == 1234  # the failed copy published nothing
+
+
+def test_rerun_after_crash_during_publish(spark, tmp_path):  # executors/driver lost mid-publish
+    h = History(spark, str(tmp_path / "h"))
+    h.window_replace(base(spark), dt.datetime(1900, 1, 1))
+    # leftover of a run that died while committing version 2: no data file, only _temporary
+    os.makedirs(str(tmp_path / "h" / "_versions" / "v=0000000002" / "_temporary" / "0"))
+    os.makedirs(str(tmp_path / "h" / "runs" / "run=0000000002" / "_temporary" / "0"))
+    assert h.version() == 1
+    r = h.window_replace(fresh(spark), CUT)
+    assert r.version == 2 and h.version() == 2
+    assert [k for k, in rows(h.read(), "k")] == [1, 3, 5, 7, 8, 20, 21, 22]
