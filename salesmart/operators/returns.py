@@ -27,7 +27,9 @@ def returns_rollup(lines: DataFrame, headers: DataFrame, *, line_type: str = "LI
            .select(F.col("previous_customer_trx_line_id").alias("returned_line_id"),
                    "customer_trx_id", "quantity_credited"))
     hdr = headers.select("customer_trx_id", F.col("trx_number").alias("return_trx_number"))
-    joined = ret.join(hdr, "customer_trx_id", "left")
+    # headers RIGHT JOIN returns == returns LEFT JOIN headers, but lets Spark build (broadcast)
+    # the small return side and stream all headers without shuffling them
+    joined = hdr.join(ret, "customer_trx_id", "right")
     return joined.groupBy("returned_line_id").agg(
         F.sum("quantity_credited").alias("qty_retur_sum"),
         F.expr(f"listagg(return_trx_number, '{sep}') WITHIN GROUP (ORDER BY return_trx_number)")
