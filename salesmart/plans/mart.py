@@ -18,6 +18,11 @@ is a DataFrame plan with the same result, reshaped for a distributed engine:
   account → party, warehouse → organisation → operating unit) are joined
   among themselves first, so the large invoice-line side is joined once
   per chain instead of once per table;
+* everything that hangs off the invoice header (orders, customers, sites,
+  operating unit, adjustments, invoice total) is joined to the 12-month
+  window of headers first (:func:`enriched_headers`); the invoice lines
+  are then joined to the enriched headers once, and to the line-level
+  dimensions (item, warehouse, returns);
 * filters on DISTINCT key columns (item category exists, returns gate) are
   applied before the DISTINCT; the DISTINCT keeps the source's 36 live key
   columns (the two subquery results that are functions of other key
