@@ -26,7 +26,7 @@ def con():
 
 def _n(v):
     if isinstance(v, float):
-        return float(f"{v:.9g}") if not math.isnan(v) else "nan"
+        return v if not math.isnan(v) else "nan"  # exact, as the driver hashes values
     if hasattr(v, "as_tuple"):
         return float(f"{float(v):.9g}")
     if hasattr(v, "isoformat"):
