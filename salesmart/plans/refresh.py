@@ -155,9 +155,8 @@ class History:
         version = self.version() + 1
         run_dir = f"{self.root}/runs/run={version:010d}"
         obs = Observation("full_replace")
-        # rebalance: AQE sizes the output files (no file per task, no giant file)
-        (df.observe(obs, F.count(F.lit(1)).alias("n")).hint("rebalance")
-         .write.mode("overwrite").parquet(run_dir))
+        # unpartitioned: one file per task, so no rebalance (and no extra shuffle) is needed
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(run_dir)
         n = obs.get["n"]
         if expected_rows is not None and n != expected_rows:
             raise PublishError(f"control total {expected_rows} != rows written {n}; nothing was published")

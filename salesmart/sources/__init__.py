@@ -2,10 +2,11 @@
 
 from .driver import DRIVER_AS_OF, driver_erp, driver_frames, duckdb_ctes
 from .jdbc import jdbc_tables, partition_bounds, read_jdbc, write_jdbc
-from .tables import ERP_SCHEMAS, ErpTables, frames, narrow, parquet_tables
+from .tables import (ERP_SCHEMAS, ErpTables, catalog_tables, frames, land_bucketed, narrow,
+                     parquet_tables)
 
 __all__ = [
-    "DRIVER_AS_OF", "ERP_SCHEMAS", "ErpTables", "driver_erp", "driver_frames", "duckdb_ctes",
+    "DRIVER_AS_OF", "ERP_SCHEMAS", "ErpTables", "catalog_tables", "land_bucketed", "driver_erp", "driver_frames", "duckdb_ctes",
     "frames", "jdbc_tables", "narrow", "parquet_tables", "partition_bounds", "read_jdbc",
     "write_jdbc",
 ]

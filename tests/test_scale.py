@@ -127,3 +127,33 @@ def test_delete_semantics_match_sql_model(spark, data):  # T9, T12, F15
     model_kept = {i for i, (ts, y) in enumerate(data) if pred(ts, y) is not True}
     assert kept == model_kept
     assert deleted == len(data) - len(model_kept)
+
+
+@needs_data
+def test_bucketed_landing_makes_line_join_shuffle_free(spark, tmp_path):
+    """Headers and lines bucketed by customer_trx_id: their join reads both sides without an Exchange."""
+    import re
+
+    from salesmart.plans.mart import invoice_lines, window_invoices
+    from salesmart.sources import catalog_tables, land_bucketed
+
+    from salesmart import rules as R
+
+    db = "erp_bucketed"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path}/{db}'")
+    erp = driver_erp(spark, SF)
+    for name in ("ra_customer_trx_all", "ra_customer_trx_lines_all"):
+        land_bucketed(erp[name], f"{db}.{name}", "customer_trx_id", 8)
+    for name in ("ra_cust_trx_types_all",):
+        erp[name].write.mode("overwrite").saveAsTable(f"{db}.{name}")
+    cat = catalog_tables(spark, db)
+    # only the 4-row invoice-type table may be broadcast, never headers or lines
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="32k",
+              spark__sql__adaptive__autoBroadcastJoinThreshold="32k"):
+        headers = window_invoices(cat, DRIVER_AS_OF, R.DEFAULT_RULES)
+        joined = invoice_lines(cat, headers)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        n = joined.count()
+    assert "SortMergeJoin" in plan  # neither side was broadcast
+    assert not re.search(r"Exchange hashpartitioning\(customer_trx_id", plan), plan
+    assert n == invoice_lines(erp, window_invoices(erp, DRIVER_AS_OF, R.DEFAULT_RULES)).count()
