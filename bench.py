@@ -22,6 +22,7 @@ from salesmart.session import local_session  # noqa: E402
 
 HEADLINE = (
     "sales_mart",            # the whole refresh extract: 28 relations, 9 lookups, DISTINCT
+    "mart_refresh",          # job A end to end: two daily runs, atomic window replace, read back
     "distinct_rows",         # its DISTINCT block alone
     "orders_in_scope",       # order side: type, user, order-line flags, price list, delivery
     "returns_invoice_list",  # shared returns rollup (sum + ordered string list)

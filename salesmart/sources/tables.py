@@ -82,7 +82,11 @@ def narrow(df: DataFrame, name: str) -> DataFrame:
     missing = [c for c, _ in ERP_SCHEMAS[name] if c not in fields]
     if missing:
         raise ValueError(f"{name}: missing source columns {missing}")
-    exprs = []
+    exprs, same = [], len(df.columns) == len(ERP_SCHEMAS[name])
+    for (c, t), have in zip(ERP_SCHEMAS[name], df.schema.fields):
+        same = same and have.name == c and have.dataType.simpleString() == t
+    if same:
+        return df  # already the spec's columns, order and types
     for c, t in ERP_SCHEMAS[name]:
         f = fields[c]
         if f.dataType.simpleString() == t and f.name == c:
