@@ -107,16 +107,8 @@ class History:
 
     # -- reading ------------------------------------------------------------
     def _pointer(self) -> dict | None:
-        try:
-            ptr = self.spark.read.text(f"{self.root}/_versions")
-        except Exception as e:  # no version yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
-            raise
-        if "v" not in ptr.columns:
-            return None
-        top = ptr.orderBy(F.col("v").desc()).limit(1).collect()
-        return json.loads(top[0]["value"]) if top else None
+        newest = self.versions(1)
+        return newest[0] if newest else None
 
     def version(self) -> int:
         p = self._pointer()
@@ -136,6 +128,44 @@ class History:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*p["paths"])
 
+    def versions(self, last: int | None = None) -> list[dict]:
+        """Committed pointers, newest first (``last`` limits how many)."""
+        try:
+            ptr = self.spark.read.text(f"{self.root}/_versions")
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return []
+            raise
+        if "v" not in ptr.columns:
+            return []
+        q = ptr.orderBy(F.col("v").desc())
+        if last is not None:
+            q = q.limit(last)
+        return [json.loads(r["value"]) for r in q.collect()]
+
+    def vacuum(self, keep_versions: int = 7, *, dry_run: bool = True) -> list[str]:
+        """Data directories no longer referenced by the newest ``keep_versions`` versions.
+
+        Every run writes its window months anew, so without this the history
+        grows by a window's worth of data per run. With ``dry_run=False``
+        the listed directories are deleted through the cluster file system
+        (older versions then cannot be read any more; the kept ones can).
+        """
+        if keep_versions < 1:
+            raise ValueError("keep at least the current version")
+        keep = {p for v in self.versions(keep_versions) for p in v["paths"]}
+        known: set[str] = set()
+        for v in self.versions():
+            known.update(v["paths"])
+        stale = sorted(known - keep)
+        if not dry_run and stale:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            for p in stale:
+                path = jvm.org.apache.hadoop.fs.Path(p)
+                path.getFileSystem(conf).delete(path, True)
+        return stale
+
     # -- writing ------------------------------------------------------------
     def _publish(self, version: int, paths: list[str], schema: T.StructType, report: RefreshReport) -> None:
         doc = {"version": version, "paths": paths, "schema": schema.json(),

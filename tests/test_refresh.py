@@ -157,3 +157,19 @@ def test_rerun_after_crash_during_publish(spark, tmp_path):  # executors/driver
     r = h.window_replace(fresh(spark), CUT)
     assert r.version == 2 and h.version() == 2
     assert [k for k, in rows(h.read(), "k")] == [1, 3, 5, 7, 8, 20, 21, 22]
+
+
+def test_vacuum_lists_only_unreferenced_month_dirs(spark, tmp_path):  # storage stays bounded
+    h = History(spark, str(tmp_path / "h"))
+    h.window_replace(base(spark), dt.datetime(1900, 1, 1))    # v1: every month
+    h.window_replace(fresh(spark), CUT)                       # v2: months >= 2000-08 rewritten
+    h.window_replace(fresh(spark), CUT)                       # v3: the same months again
+    live = set(h.live_paths())
+    stale = h.vacuum(keep_versions=1)                         # dry run: nothing is deleted
+    assert stale and not (set(stale) & live)
+    assert all("run=0000000001" in p or "run=0000000002" in p for p in stale)
+    # months before the cutoff written by run 1 are still live, so they are not stale
+    assert any("run=0000000001" in p for p in live)
+    assert set(h.vacuum(keep_versions=2)) < set(stale)
+    assert h.vacuum(keep_versions=3) == []
+    assert [k for k, in rows(h.read(), "k")] == [1, 3, 5, 7, 8, 20, 21, 22]
