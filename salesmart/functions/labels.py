@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules as R
-from .oracle import ColumnOrName, _c, clean_org_name, first_token, like_any, upper_like
+from .oracle import ColumnOrName, _c, clean_org_name, first_token, like_any, sql_string, upper_like
 
 
 def branch_code(order_type: ColumnOrName) -> Column:
@@ -69,6 +69,11 @@ def returns_gate(order_type: ColumnOrName, pricelist: ColumnOrName,
 
 def category_case(code: ColumnOrName, category_rules=R.ITEM_CATEGORY_RULES) -> Column:
     """Searched CASE over the category rules; null when nothing matches."""
+    if isinstance(code, str):  # one SQL expression, one round trip
+        branches = " ".join(
+            f"WHEN `{code}` IN ({', '.join(sql_string(x) for x in codes)}) THEN {sql_string(cat)}"
+            for cat, codes in category_rules)
+        return F.expr(f"CASE {branches} END")
     c = _c(code)
     expr = None
     for category, codes in category_rules:

@@ -239,13 +239,13 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
 
 
 def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
-              spark: SparkSession | None = None) -> DataFrame:
+              spark: SparkSession | None = None, codes: DataFrame | None = None) -> DataFrame:
     """The DISTINCT block: one row per distinct invoice-line fact.
 
     Columns: the 36 DISTINCT key columns (see :data:`DISTINCT_KEY`).
     """
     spark = spark or erp["ra_customer_trx_all"].sparkSession
-    codes = code_list(spark, rules)
+    codes = codes if codes is not None else code_list(spark, rules)
 
     h = enriched_headers(erp, as_of, rules)
     rows = (invoice_lines(erp, h)
@@ -263,9 +263,10 @@ def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAUL
 def sales_mart_display(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
                        spark: SparkSession | None = None) -> DataFrame:
     """The 27 output columns under their display names (before the contract rename)."""
-    rows = mart_rows(erp, as_of, rules, spark)
-    spark = spark or rows.sparkSession
-    codes = code_list(spark, rules).select(F.col("item_code").alias("_prefix"), "sp_type")
+    spark = spark or erp["ra_customer_trx_all"].sparkSession
+    all_codes = code_list(spark, rules)
+    rows = mart_rows(erp, as_of, rules, spark, all_codes)
+    codes = all_codes.select(F.col("item_code").alias("_prefix"), "sp_type")
     rows = rows.join(codes, substr_from(rows["segment1"], 1, 3) == codes["_prefix"])
     tax = F.col("tax_classification_code")
     return rows.select(
