@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -129,19 +130,27 @@ class History:
         return self.spark.read.schema(schema).parquet(*p["paths"])
 
     def versions(self, last: int | None = None) -> list[dict]:
-        """Committed pointers, newest first (``last`` limits how many)."""
+        """Committed pointers, newest first (``last`` limits how many).
+
+        The version folders are found from the file listing alone
+        (``inputFiles``); only the pointers asked for are read.
+        """
         try:
-            ptr = self.spark.read.text(f"{self.root}/_versions")
+            files = self.spark.read.text(f"{self.root}/_versions").inputFiles()
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return []
             raise
-        if "v" not in ptr.columns:
+        by_version: dict[int, list[str]] = {}
+        for f in files:
+            m = re.search(r"/v=(\d+)/", f)
+            if m:
+                by_version.setdefault(int(m.group(1)), []).append(f)
+        chosen = sorted(by_version, reverse=True)[:last]
+        if not chosen:
             return []
-        q = ptr.orderBy(F.col("v").desc())
-        if last is not None:
-            q = q.limit(last)
-        return [json.loads(r["value"]) for r in q.collect()]
+        rows = self.spark.read.text([f for v in chosen for f in by_version[v]]).collect()
+        return sorted((json.loads(r["value"]) for r in rows), key=lambda d: -d["version"])
 
     def vacuum(self, keep_versions: int = 7, *, dry_run: bool = True) -> list[str]:
         """Data directories no longer referenced by the newest ``keep_versions`` versions.
