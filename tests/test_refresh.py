@@ -173,3 +173,14 @@ def test_vacuum_lists_only_unreferenced_month_dirs(spark, tmp_path):  # storage
     assert set(h.vacuum(keep_versions=2)) < set(stale)
     assert h.vacuum(keep_versions=3) == []
     assert [k for k, in rows(h.read(), "k")] == [1, 3, 5, 7, 8, 20, 21, 22]
+
+
+def test_command_line_copy_transactions(spark, tmp_path, capsys):  # job B from a scheduler
+    import json
+
+    from salesmart.__main__ import main
+    src = str(tmp_path / "view")
+    _transactions(spark, 321).write.parquet(src)
+    assert main(["copy-transactions", "--source-parquet", src, "--history", str(tmp_path / "tx")]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["rows_written"] == 321 and report["mode"] == "full"
