@@ -157,3 +157,23 @@ def test_bucketed_landing_makes_line_join_shuffle_free(spark, tmp_path):
     assert "SortMergeJoin" in plan  # neither side was broadcast
     assert not re.search(r"Exchange hashpartitioning\(customer_trx_id", plan), plan
     assert n == invoice_lines(erp, window_invoices(erp, DRIVER_AS_OF, R.DEFAULT_RULES)).count()
+
+
+def test_cutoff_and_window_do_not_depend_on_time_zone(spark):  # literals are zone-free
+    from salesmart.functions import in_trailing_window
+
+    data = [(1, dt.datetime(2000, 7, 31, 23, 30), 2000), (2, dt.datetime(2000, 8, 1, 0, 0), 2000),
+            (3, dt.datetime(2000, 8, 1, 0, 30), 2000), (4, dt.datetime(2001, 8, 1, 23, 59), 2001),
+            (5, dt.datetime(2001, 8, 2, 0, 0), 2001)]
+    df = spark.createDataFrame(data, "k int, tgl_invoice timestamp_ntz, tahun_invoice int")
+    cut = dt.datetime(2000, 8, 1)
+
+    def result():
+        kept = sorted(r.k for r in survivors(df, "tgl_invoice", cut, ("tahun_invoice", 9999)).collect())
+        window = sorted(r.k for r in df.filter(in_trailing_window("tgl_invoice", "2001-08-01", 12)).collect())
+        return kept, window
+
+    expected = ([1], [2, 3, 4])
+    for zone in ("UTC", "America/New_York", "Asia/Jakarta", "Pacific/Kiritimati"):
+        with conf(spark, spark__sql__session__timeZone=zone):
+            assert result() == expected, zone
