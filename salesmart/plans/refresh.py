@@ -153,7 +153,8 @@ class History:
         return sorted((json.loads(r["value"]) for r in rows), key=lambda d: -d["version"])
 
     def vacuum(self, keep_versions: int = 7, *, dry_run: bool = True) -> list[str]:
-        """Data directories no longer referenced by the newest ``keep_versions`` versions.
+        """Data directories no longer referenced by the newest ``keep_versions`` versions,
+        followed by the pointer folders of the versions that are retired.
 
         Every run writes its window months anew, so without this the history
         grows by a window's worth of data per run. With ``dry_run=False``
@@ -162,11 +163,17 @@ class History:
         """
         if keep_versions < 1:
             raise ValueError("keep at least the current version")
-        keep = {p for v in self.versions(keep_versions) for p in v["paths"]}
+        newest = self.versions(keep_versions)
+        keep = {p for v in newest for p in v["paths"]}
+        oldest_kept = min((v["version"] for v in newest), default=0)
         known: set[str] = set()
+        retired: list[str] = []
         for v in self.versions():
             known.update(v["paths"])
-        stale = sorted(known - keep)
+            if v["version"] < oldest_kept:
+                retired.append(f"{self.root}/_versions/v={v['version']:010d}")
+        # data first, then the pointers of the retired versions (so the listing stays short)
+        stale = sorted(known - keep) + sorted(retired)
         if not dry_run and stale:
             jvm = self.spark.sparkContext._jvm
             conf = self.spark.sparkContext._jsc.hadoopConfiguration()
