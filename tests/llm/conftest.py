@@ -1,0 +1,50 @@
+import pytest
+
+from salesmart.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+#: id, text, lang, source: nulls, empty and blank texts, ties, repeated rows, a long text
+EDGE_ROWS = [
+    (1, "Hello big  world one two", "en", "src0"),
+    (2, "Hello big world\tone two", "en", "src0"),
+    (3, "hello big world one TWO", "en", None),
+    (4, None, "en", "src1"),
+    (5, "", None, "src1"),
+    (6, " \t\n\x0b\x0c\r", "de", "src2"),
+    (7, "1234 5678 !!!", "de", "src2"),
+    (8, "Grüße aus München und Köln", "de", "src2"),
+    (8, "Grüße aus München und Köln", "de", "src2"),
+    (None, "a text whose id is null", "en", "src3"),
+    (9, "nbsp is no blank here", "en", "src3"),
+    (10, "nbspis no blank here", "en", "src3"),
+    (11, "long " * 30_000, "en", "src9"),
+    (12, "x" * 20_000, "fr", "src9"),
+    (13, "emoji 😀 text 😀", "es", "src12"),
+    (14, "one", "es", "src12"),
+    (15, "special <|endoftext|> inside <|startoftext|>", "en", "src12"),
+]
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(EDGE_ROWS, SCHEMA).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return table(spark, SF, "documents").cache()
+
+
+def clashing(df, *names):
+    """``df`` with further columns whose names operators might want for themselves."""
+    from pyspark.sql import functions as F
+
+    return df.withColumns({n: F.lit("other") for n in names})
