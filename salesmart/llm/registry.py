@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, exact_dedup, language_id, simhash_dedup, source_mixing, token_counts
+from . import (
+    best_fit_packing,
+    embedding_dedup,
+    exact_dedup,
+    html_extraction,
+    language_id,
+    simhash_dedup,
+    source_mixing,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from .common import held_out, staged, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -43,12 +54,31 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(
+        documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    )
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path(WORD_VOCABULARY)
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract_pages(pages, "page_id", "html", "url").select("page_id", "url", "text", "n_chars")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -185,7 +215,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op2_toxicity,
+        op3_embedding_near_dedup,
+        op4_substring_dedup,
         op5_token_counts,
+        op6_html_extraction,
         op7_best_fit_packing,
         op8_source_mixing,
         op9_simhash_near_dedup,
