@@ -16,9 +16,12 @@ a hole. Here a refresh never touches data that readers can see:
   highest committed version. A failure anywhere before that leaves the
   previous version as the readable one.
 
-Row counts (read, deleted, fresh, written) are collected with
-``DataFrame.observe`` during the single write job, so reconciling them costs
-no second pass. One writer per history root is assumed (a daily job).
+Row counts (read, deleted, fresh) are collected with ``DataFrame.observe``
+during the write job and reconciled with a count of the written files (their
+footers), so a short or doubled write is never published. Every attempt
+writes into a folder of its own. Of two writers that start from the same
+version only one can publish: it creates a claim file for the next version,
+which fails where one exists.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,7 +53,7 @@ class RefreshReport:
     rows_deleted: int = 0
     rows_fresh: int = 0
     rows_written: int = 0
-    rows_reused: int | None = None
+    rejected_references: int | None = None  # order references of the window that are no numbers
     paths: list[str] = field(default_factory=list)
 
 
@@ -135,12 +139,9 @@ class History:
         The version folders are found from the file listing alone
         (``inputFiles``); only the pointers asked for are read.
         """
-        try:
-            files = self.spark.read.text(f"{self.root}/_versions").inputFiles()
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return []
-            raise
+        if not self._fs_exists(f"{self.root}/_versions"):
+            return []  # nothing was ever published; a failing listing raises instead
+        files = self.spark.read.text(f"{self.root}/_versions").inputFiles()
         by_version: dict[int, list[str]] = {}
         for f in files:
             m = re.search(r"/v=(\d+)/", f)
@@ -152,6 +153,15 @@ class History:
         rows = self.spark.read.text([f for v in chosen for f in by_version[v]]).collect()
         return sorted((json.loads(r["value"]) for r in rows), key=lambda d: -d["version"])
 
+    def _path(self, path: str):
+        """A path and its file system (the cluster's, whatever the scheme)."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _fs_exists(self, path: str) -> bool:
+        where, fs = self._path(path)
+        return fs.exists(where)
+
     def vacuum(self, keep_versions: int = 7, *, dry_run: bool = True) -> list[str]:
         """Data directories no longer referenced by the newest ``keep_versions`` versions,
         followed by the pointer folders of the versions that are retired.
@@ -175,11 +185,9 @@ class History:
         # data first, then the pointers of the retired versions (so the listing stays short)
         stale = sorted(known - keep) + sorted(retired)
         if not dry_run and stale:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
             for p in stale:
-                path = jvm.org.apache.hadoop.fs.Path(p)
-                path.getFileSystem(conf).delete(path, True)
+                where, fs = self._path(p)
+                fs.delete(where, True)
         return stale
 
     # -- writing ------------------------------------------------------------
@@ -187,10 +195,35 @@ class History:
         doc = {"version": version, "paths": paths, "schema": schema.json(),
                "mode": report.mode, "rows_written": report.rows_written,
                "rows_deleted": report.rows_deleted, "rows_fresh": report.rows_fresh}
-        # version = highest committed + 1, so an existing folder of that name can only be the
-        # uncommitted leftover of a crashed run: overwrite it
+        self._claim(version)
+        # the folder is ours now; what else is in it is the uncommitted leftover of a crashed run
         (self.spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{self.root}/_versions/v={version:010d}"))
+         .write.mode("append").text(f"{self.root}/_versions/v={version:010d}"))
+
+    def _claim(self, version: int) -> None:
+        """Create the version's claim file; fails when another writer has it.
+
+        A writer that dies between claim and pointer (seconds) leaves a claim that
+        stops later ones until it is removed, rather than risk a lost update.
+        """
+        name = f"{self.root}/_versions/v={version:010d}/_claim"
+        where, fs = self._path(name)
+        try:
+            fs.create(where, False).close()
+        except Exception as e:
+            if not fs.exists(where):
+                raise
+            raise PublishError(f"another writer has claimed version {version} ({name}); nothing was published") from e
+
+    def _run_dir(self, version: int) -> str:
+        """A folder that no other attempt writes to."""
+        return f"{self.root}/runs/run={version:010d}/{uuid.uuid4().hex}"
+
+    def _written(self, path: str, schema: T.StructType) -> int:
+        """Rows in the files of a run, from their footers."""
+        if not self._fs_exists(path):
+            return 0
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).count()
 
     def full_replace(self, df: DataFrame, *, expected_rows: int | None = None) -> RefreshReport:
         """Replace everything with ``df`` (TRUNCATE + load, in one publish step).
@@ -199,11 +232,10 @@ class History:
         (``COUNT(*)``); when the rows written differ, nothing is published.
         """
         version = self.version() + 1
-        run_dir = f"{self.root}/runs/run={version:010d}"
-        obs = Observation("full_replace")
-        # unpartitioned: one file per task, so no rebalance (and no extra shuffle) is needed
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(run_dir)
-        n = obs.get["n"]
+        run_dir = self._run_dir(version)
+        # the files follow the data's size, also when the source came through few tasks
+        df.hint("rebalance").write.parquet(run_dir)
+        n = self._written(run_dir, df.schema)
         if expected_rows is not None and n != expected_rows:
             raise PublishError(f"control total {expected_rows} != rows written {n}; nothing was published")
         report = RefreshReport(version, "full", rows_fresh=n, rows_written=n, paths=[run_dir])
@@ -211,9 +243,13 @@ class History:
         return report
 
     def window_replace(self, fresh: DataFrame, cutoff, *,
-                       protect: tuple[str, int] | None = ("tahun_invoice", R.PROTECTED_YEAR)) -> RefreshReport:
+                       protect: tuple[str, int] | None = ("tahun_invoice", R.PROTECTED_YEAR),
+                       create: bool = True) -> RefreshReport:
         """Delete ``date >= cutoff`` (except protected rows) and load ``fresh``, atomically.
 
+        With ``create=False`` an existing history is demanded: a job that
+        expects one fails instead of starting anew under a wrong root.
+
         ``cutoff`` is compared with the date column as given: pass the start
         of a day to make the delete match an extract that covers whole days.
         """
@@ -221,6 +257,8 @@ class History:
             raise PublishError("window_replace needs a date column")
         dcol = self.date_col
         ptr = self._pointer()
+        if ptr is None and not create:
+            raise PublishError(f"nothing published under {self.root}")
         version = (ptr["version"] if ptr else 0) + 1
         cutoff_month = (cutoff.strftime("%Y-%m") if hasattr(cutoff, "strftime") else str(cutoff)[:7])
 
@@ -228,8 +266,9 @@ class History:
             return p.rsplit("month=", 1)[1] if "month=" in p else NULL_MONTH
 
         prev_paths = list(ptr["paths"]) if ptr else []
+        # rows without a date are never deleted, so their folders are reused as they are
         rewrite = [p for p in prev_paths
-                   if month_from_path(p) == NULL_MONTH or month_from_path(p) >= cutoff_month]
+                   if month_from_path(p) != NULL_MONTH and month_from_path(p) >= cutoff_month]
         reuse = [p for p in prev_paths if p not in rewrite]
 
         tagged_fresh = fresh.withColumn("_fresh", F.lit(1))
@@ -254,10 +293,10 @@ class History:
                         F.sum(((F.col("_fresh") == 1) & (F.col("month") < F.lit(cutoff_month))
                                & (F.col("month") != F.lit(NULL_MONTH))).cast("long")).alias("early"))
                .drop("_fresh"))
-        run_dir = f"{self.root}/runs/run={version:010d}"
+        run_dir = self._run_dir(version)
         # rebalance by month: files per month follow its size (AQE splits a big month into
         # advisory-size pieces and merges small ones) instead of one file per task and month
-        out.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(run_dir)
+        out.hint("rebalance", "month").write.partitionBy("month").parquet(run_dir)
 
         m = out_obs.get
         if (m.get("early") or 0) > 0:
@@ -265,7 +304,7 @@ class History:
                                f"{cutoff_month}; nothing was published")
         before = old_obs.get if old_obs is not None else {"n": 0, "deleted": 0}
         n_before, n_deleted = before["n"] or 0, before["deleted"] or 0
-        n_fresh, n_written = m["fresh"] or 0, m["n"] or 0
+        n_fresh, n_written = m["fresh"] or 0, self._written(run_dir, fresh.schema)
         if n_before - n_deleted + n_fresh != n_written:
             raise PublishError(f"count mismatch: {n_before} - {n_deleted} + {n_fresh} != {n_written}")
 

@@ -55,7 +55,7 @@ def test_window_replace_semantics(spark, tmp_path):
     assert r1.rows_before - r1.rows_deleted + r1.rows_fresh == r1.rows_written  # T21 identity
     # months before the cutoff month are reused untouched, not rewritten
     assert any("month=2000-05" in p and "run=0000000001" in p for p in r1.paths)
-    assert all("run=0000000002" in p for p in r1.paths if "month=2000-05" not in p and "month=2000-07" not in p)
+    assert all("run=0000000002" in p for p in r1.paths if not any(m in p for m in ("month=2000-05", "month=2000-07", "month=none")))
 
 
 def test_refresh_is_idempotent(spark, tmp_path):
@@ -187,3 +187,58 @@ def test_command_line_copy_transactions(spark, tmp_path, capsys):  # job B from
     assert main(["copy-transactions", "--source-parquet", src, "--history", str(tmp_path / "tx")]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["rows_written"] == 321 and report["mode"] == "full"
+
+
+def test_a_failing_listing_is_no_empty_history(spark, tmp_path, monkeypatch):  # S10: the history must survive it
+    h = History(spark, str(tmp_path / "h"))
+    h.window_replace(base(spark), dt.datetime(1900, 1, 1))
+    before = rows(h.read(), "k")
+
+    def broken(path):
+        raise RuntimeError(f"{path} does not exist (for the moment)")
+
+    monkeypatch.setattr(h, "_fs_exists", broken)
+    with pytest.raises(RuntimeError):
+        h.window_replace(fresh(spark), CUT)
+    monkeypatch.undo()
+    assert h.version() == 1 and rows(h.read(), "k") == before
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path):  # S12
+    h = History(spark, str(tmp_path / "h"))
+    h.window_replace(base(spark), dt.datetime(1900, 1, 1))
+    other = History(spark, str(tmp_path / "h"))
+    publish, done = other._publish, []
+
+    def late(version, paths, schema, report):  # the first one publishes while the second is writing
+        if not done:
+            done.append(h.window_replace(fresh(spark), CUT))
+        publish(version, paths, schema, report)
+
+    other._publish = late
+    with pytest.raises(PublishError, match="another writer"):
+        other.window_replace(fresh(spark).filter(F.lit(False)), CUT)
+    assert h.version() == 2 and [k for k, in rows(h.read(), "k")] == [1, 3, 5, 7, 8, 20, 21, 22]
+
+
+def test_a_short_write_is_not_published(spark, tmp_path, monkeypatch):  # S14
+    h = History(spark, str(tmp_path / "h"))
+    h.window_replace(base(spark), dt.datetime(1900, 1, 1))
+    counted = h._written
+    monkeypatch.setattr(h, "_written", lambda *a: counted(*a) - 1)
+    with pytest.raises(PublishError, match="count mismatch"):
+        h.window_replace(fresh(spark), CUT)
+    assert h.version() == 1
+
+
+def test_an_existing_history_can_be_demanded(spark, tmp_path):
+    with pytest.raises(PublishError, match="nothing published"):
+        History(spark, str(tmp_path / "typo")).window_replace(fresh(spark), CUT, create=False)
+
+
+def test_rows_without_a_date_are_not_rewritten(spark, tmp_path):  # SURVEY 7.4
+    h = History(spark, str(tmp_path / "h"))
+    r0 = h.window_replace(base(spark), dt.datetime(1900, 1, 1))
+    none = [p for p in r0.paths if p.endswith("month=none")]
+    r1 = h.window_replace(fresh(spark), CUT)
+    assert none and set(none) <= set(r1.paths)
