@@ -2,10 +2,13 @@
 
     python -m salesmart mart-refresh --erp-parquet ROOT --history DIR [--as-of YYYY-MM-DD]
     python -m salesmart mart-refresh --jdbc-url URL [--jdbc-schema S] --history DIR
+        --jdbc-partition TABLE:COLUMN:N ... --jdbc-single TABLE ...
     python -m salesmart copy-transactions --source-parquet PATH --history DIR
     python -m salesmart copy-transactions --jdbc-url URL --source-table T --history DIR
+        --jdbc-partition T:COLUMN:N | --jdbc-single T
 
-Connection properties (user, password, driver) come from ``--jdbc-prop k=v``;
+Over JDBC every table is either split into N range queries on a numeric column,
+or named as one that a single connection shall read. Connection properties (user, password, driver) come from ``--jdbc-prop k=v``;
 the session comes from ``spark-submit``/the cluster (a local one otherwise).
 Prints the load report as one JSON line.
 """
@@ -25,6 +28,21 @@ def _props(items: list[str]) -> dict[str, str]:
     return dict(i.split("=", 1) for i in items or [])
 
 
+def _splits(items: list[str]) -> dict[str, tuple[str, int]]:
+    """``TABLE:COLUMN:N`` items as (column, n) by table."""
+    out = {}
+    for item in items:
+        table, column, n = item.rsplit(":", 2)
+        out[table] = (column, int(n))
+    return out
+
+
+def _check_named(parser: argparse.ArgumentParser, tables, splits: dict, single: list[str]) -> None:
+    missing = sorted(set(tables) - set(splits) - set(single))
+    if missing:
+        parser.error(f"give --jdbc-partition or --jdbc-single for: {', '.join(missing)}")
+
+
 def _session() -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -45,7 +63,10 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--jdbc-url")
     a.add_argument("--jdbc-schema")
     a.add_argument("--jdbc-prop", action="append", default=[])
+    a.add_argument("--jdbc-partition", action="append", default=[], metavar="TABLE:COLUMN:N")
+    a.add_argument("--jdbc-single", action="append", default=[], metavar="TABLE")
     a.add_argument("--history", required=True, help="root of the published mart history")
+    a.add_argument("--existing", action="store_true", help="fail where no history was published yet")
     a.add_argument("--as-of", default=dt.date.today().isoformat(), help="the run's 'today' (default: today)")
 
     b = sub.add_parser("copy-transactions", help="typed full copy of the transactions view")
@@ -53,24 +74,41 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--jdbc-url")
     b.add_argument("--source-table")
     b.add_argument("--jdbc-prop", action="append", default=[])
+    b.add_argument("--jdbc-partition", action="append", default=[], metavar="TABLE:COLUMN:N")
+    b.add_argument("--jdbc-single", action="append", default=[], metavar="TABLE")
     b.add_argument("--history", required=True, help="root of the published copy")
 
     args = p.parse_args(argv)
     spark = _session()
     from .plans import copy_transactions, refresh_sales_mart
-    from .sources import jdbc_tables, parquet_tables, read_jdbc
+    from .sources import jdbc_tables, parquet_tables, partition_bounds, read_jdbc
+    from .sources.tables import ERP_SCHEMAS
 
     if args.cmd == "mart-refresh":
         if bool(args.erp_parquet) == bool(args.jdbc_url):
             p.error("give exactly one of --erp-parquet / --jdbc-url")
-        erp = (parquet_tables(spark, args.erp_parquet) if args.erp_parquet else
-               jdbc_tables(spark, args.jdbc_url, schema=args.jdbc_schema, properties=_props(args.jdbc_prop)))
-        report = refresh_sales_mart(spark, erp, args.history, args.as_of)
+        if args.erp_parquet:
+            erp = parquet_tables(spark, args.erp_parquet)
+        else:
+            splits = _splits(args.jdbc_partition)
+            _check_named(p, ERP_SCHEMAS, splits, args.jdbc_single)
+            erp = jdbc_tables(spark, args.jdbc_url, schema=args.jdbc_schema, properties=_props(args.jdbc_prop),
+                              partitioning=splits)
+        report = refresh_sales_mart(spark, erp, args.history, args.as_of, create=not args.existing)
     else:
         if args.source_parquet:
             src = spark.read.parquet(args.source_parquet)
         elif args.jdbc_url and args.source_table:
-            src = read_jdbc(spark, args.jdbc_url, args.source_table, properties=_props(args.jdbc_prop))
+            props, splits = _props(args.jdbc_prop), _splits(args.jdbc_partition)
+            _check_named(p, [args.source_table], splits, args.jdbc_single)
+            how = {}
+            if args.source_table in splits:
+                column, n = splits[args.source_table]
+                bounds = partition_bounds(spark, args.jdbc_url, args.source_table, column, properties=props)
+                if bounds is not None:
+                    how = dict(partition_column=column, lower_bound=bounds[0], upper_bound=bounds[1],
+                               num_partitions=n)
+            src = read_jdbc(spark, args.jdbc_url, args.source_table, properties=props, **how)
         else:
             p.error("give --source-parquet or --jdbc-url with --source-table")
         report = copy_transactions(src, args.history)

@@ -34,20 +34,21 @@ def branch_label(order_type: ColumnOrName, org_name: ColumnOrName, *, domestic_o
     return out.otherwise(org_label(org_name))
 
 
-def sales_channel(order_type: ColumnOrName, pricelist: ColumnOrName) -> Column:
+def sales_channel(order_type: ColumnOrName, pricelist: ColumnOrName, rules=R.CHANNEL_RULES,
+                  default: str = R.CHANNEL_DEFAULT) -> Column:
     """TOKOQUICK by order type, QUICK TRUCK by price list, else UMUM."""
     cols = {"order_type": _c(order_type), "pricelist": _c(pricelist)}
     expr = None
-    for which, pattern, label in R.CHANNEL_RULES:
+    for which, pattern, label in rules:
         cond = upper_like(cols[which], pattern)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(R.CHANNEL_DEFAULT))
+    return expr.otherwise(F.lit(default))
 
 
 def ship_to_city(customer_name: ColumnOrName, order_city: ColumnOrName,
-                 location_city: ColumnOrName) -> Column:
+                 location_city: ColumnOrName, retail_pattern: str = R.RETAIL_CUSTOMER_PATTERN) -> Column:
     """Retail customers (name ending ``Eceran``) take the city typed on the order."""
-    return (F.when(_c(customer_name).like(R.RETAIL_CUSTOMER_PATTERN), _c(order_city))
+    return (F.when(_c(customer_name).like(retail_pattern), _c(order_city))
             .otherwise(_c(location_city)))
 
 

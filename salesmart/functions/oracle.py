@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -142,3 +143,34 @@ def upper_like(c: ColumnOrName, pattern: str) -> Column:
 def is_true(pred: Column) -> Column:
     """Null-safe truth: null counts as false (SQL WHERE semantics, made explicit)."""
     return F.coalesce(pred, F.lit(False))
+
+
+def exact_cast_sql(value: str, have: T.DataType, want: str, name: str) -> str:
+    """SQL that casts ``value`` to ``want`` and raises where digits would be lost.
+
+    Only numbers with a fraction can lose any; other casts are plain (a value
+    that does not fit raises under ANSI mode).
+    """
+    cast = f"CAST({value} AS {want})"
+    loses = want.startswith("decimal") or want in ("bigint", "int", "smallint", "tinyint")
+    if isinstance(have, T.DecimalType) and loses:
+        scale = int(want.rstrip(")").split(",")[1]) if want.startswith("decimal(") else 0
+        if have.scale > scale:
+            # compared in the source's type: a common type of both would round the source as well
+            return (f"CASE WHEN {value} IS NULL OR CAST({cast} AS {have.simpleString()}) = {value} THEN {cast} "
+                    f"ELSE raise_error('{name}: a value has more decimals than {want} can hold') END")
+    return cast
+
+
+def exact_cast(column: str, have: T.DataType, want: str) -> Column:
+    """:func:`exact_cast_sql` as a column."""
+    return F.expr(exact_cast_sql(f"`{column}`", have, want, column))
+
+
+def order_reference(text: ColumnOrName) -> Column:
+    """``TO_NUMBER(reference)`` as an order number: ``12``, ``12.0`` and ``1E1`` are numbers.
+
+    Null for text that is no number or no whole one; such rows cannot match.
+    """
+    number = _c(text).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))

@@ -1,9 +1,11 @@
 """Exact decimal line arithmetic and the tax gross-up.
 
-Types are narrowed on purpose before each multiplication so Spark never has
-to cut the scale (``decimal(38,x) * decimal(38,y)`` silently becomes
-``decimal(38,6)``). A value that does not fit raises under ANSI mode instead
-of being rounded.
+The types are chosen so that products fit: price (10 decimals) x rate (6) is
+exact, and an amount keeps 17 decimals, so it is exact unless quantity, price
+and rate together use more than 17. (``decimal(38,x) * decimal(38,y)`` would
+silently become ``decimal(38,6)``.) Inputs come in these types from
+:mod:`salesmart.sources.tables`, which raises where one would be rounded; a
+product that is too large raises under ANSI mode.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from pyspark.sql import functions as F
 
 from .oracle import ColumnOrName, _c
 
-QTY_TYPE = "decimal(15,2)"         # quantity, up to 10^13 units
-UNIT_PRICE_TYPE = "decimal(22,12)"  # unit price x rate, exact for 6+6 decimals
-AMOUNT_TYPE = "decimal(32,14)"      # qty x unit price, exact
+QTY_TYPE = "decimal(12,4)"         # quantity, up to 10^8 units
+PRICE_TYPE = "decimal(20,10)"
+RATE_TYPE = "decimal(15,6)"
+UNIT_PRICE_TYPE = "decimal(28,16)"  # unit price x rate, exact, up to 10^12
+AMOUNT_TYPE = "decimal(38,17)"      # qty x unit price
 FACTOR_TYPE = "decimal(3,2)"
 
 
@@ -26,13 +30,13 @@ def line_qty(invoiced: ColumnOrName, credited: ColumnOrName) -> Column:
 
 def unit_price(selling_price: ColumnOrName, rate: ColumnOrName) -> Column:
     """``unit_selling_price * NVL(exchange_rate, 1)``."""
-    one = F.lit(1).cast("decimal(18,6)")
-    return (_c(selling_price).cast("decimal(18,6)")
-            * F.coalesce(_c(rate).cast("decimal(18,6)"), one)).cast(UNIT_PRICE_TYPE)
+    one = F.lit(1).cast(RATE_TYPE)
+    return (_c(selling_price).cast(PRICE_TYPE)
+            * F.coalesce(_c(rate).cast(RATE_TYPE), one)).cast(UNIT_PRICE_TYPE)
 
 
 def line_amount(qty: ColumnOrName, price: ColumnOrName) -> Column:
-    """``qty * unit price``, exact (decimal(38,14) before narrowing)."""
+    """``qty * unit price``."""
     return (_c(qty).cast(QTY_TYPE) * _c(price).cast(UNIT_PRICE_TYPE)).cast(AMOUNT_TYPE)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import rules as R
+from ..functions import exact_cast
 
 log = logging.getLogger(__name__)
 
@@ -54,17 +55,17 @@ def check_columns(df: DataFrame, expected: Iterable[str]) -> list[str]:
 
 
 def to_timestamps(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Convert the named columns to timestamps where present (text is parsed, bad text → null)."""
+    """Convert the named columns to timestamps where present.
+
+    Text is cast to ``timestamp_ntz`` directly: no time zone takes part, and
+    text that is no timestamp raises, as in the source job.
+    """
     out = df
     for c in columns:
         if c not in out.columns:
             continue
         dtype = out.schema[c].dataType
-        if isinstance(dtype, T.TimestampNTZType):
-            continue
-        if isinstance(dtype, T.StringType):
-            out = out.withColumn(c, F.try_to_timestamp(F.col(c)).cast("timestamp_ntz"))
-        else:
+        if not isinstance(dtype, T.TimestampNTZType):
             out = out.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return out
 
@@ -115,15 +116,15 @@ def varchar_length(sql_type: str) -> int | None:
 def apply_contract(df: DataFrame, ddl: Iterable[tuple[str, str]]) -> DataFrame:
     """Select and cast to a typed target; an overlong string fails the job.
 
-    A value that does not fit its type raises under ANSI mode (no silent
-    truncation), and a string longer than its ``VARCHAR(n)`` raises, as the
+    A value that does not fit its type raises (too large, or with digits that
+    the target's scale would cut), and a string longer than its ``VARCHAR(n)`` raises, as the
     target database would on insert.
     """
     ddl = list(ddl)
     check_columns(df, [c for c, _ in ddl])
     cols = []
     for name, sql_type in ddl:
-        c = F.col(name).cast(spark_type(sql_type))
+        c = exact_cast(name, df.schema[name].dataType, spark_type(sql_type))
         n = varchar_length(sql_type)
         if n is not None:
             c = F.when(F.length(c) > n, F.raise_error(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import window_start
 from .contract import apply_contract, jdbc_column_types
-from .mart import sales_mart
+from .mart import rejected_references, sales_mart, window_invoices
 from .refresh import History, PublishError, RefreshReport
 
 log = logging.getLogger(__name__)
@@ -31,17 +31,21 @@ log = logging.getLogger(__name__)
 def refresh_sales_mart(spark: SparkSession, erp: Mapping[str, DataFrame], history_root: str,
                        as_of: dt.date | str, *, rules: R.MartRules = R.DEFAULT_RULES,
                        cutoff: dt.datetime | None = None,
-                       protect: tuple[str, int] | None = ("tahun_invoice", R.PROTECTED_YEAR)
-                       ) -> RefreshReport:
+                       protect: tuple[str, int] | None = ("tahun_invoice", R.PROTECTED_YEAR),
+                       create: bool = True) -> RefreshReport:
     """Job A. ``as_of`` replaces the database clock; ``cutoff`` defaults to the
     first instant of the extracted window, so delete and extract cover the
     same days (the source deletes from "now minus 12 months", an instant,
-    which reloads the boundary day's early rows a second time)."""
+    which reloads the boundary day's early rows a second time). Order
+    references that are no numbers join nothing; they are counted in the report."""
     fresh = sales_mart(erp, as_of, rules, spark)
     if cutoff is None:
         cutoff = window_start(as_of, rules.window_months)
     report = History(spark, history_root, date_col="tgl_invoice").window_replace(
-        fresh, cutoff, protect=protect)
+        fresh, cutoff, protect=protect, create=create)
+    report.rejected_references = rejected_references(window_invoices(erp, as_of, rules)).first()[0]
+    if report.rejected_references:
+        log.warning("%d order references of the window are no order numbers", report.rejected_references)
     log.info("sales mart v%d: extracted %d, deleted %d, kept %d in rewritten months, total written %d",
              report.version, report.rows_fresh, report.rows_deleted,
              report.rows_written - report.rows_fresh, report.rows_written)
@@ -71,8 +75,11 @@ def copy_transactions_jdbc(source: DataFrame, url: str, table: str, *, propertie
     """Job B into a database table: truncate-and-load, then reconcile the count.
 
     Spark's JDBC writer commits per partition, so the load is not one
-    transaction: load a staging table with this function and let the target
-    database swap it in (``ALTER TABLE … RENAME``) once the count matches.
+    transaction, and a wrong total is seen only afterwards: give a staging
+    table, and let the target database swap it in (``ALTER TABLE … RENAME``)
+    once this function has returned. The same steps serve a window replace in
+    a database: load the window into a staging table, then delete the window
+    and insert from staging in one transaction there.
     """
     from ..sources.jdbc import read_jdbc, write_jdbc
 

@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..functions import (gross_up, in_trailing_window, is_true, like_any, line_amount, line_qty,
-                         not_like_all, returns_gate, sales_channel, ship_to_city, substr_from,
-                         unit_price, upper_like)
+                         not_like_all, order_reference, returns_gate, sales_channel, ship_to_city,
+                         substr_from, unit_price, upper_like)
 from ..operators import (attach, code_list, enforce_single, exists_any, guarded_lookup,
                          returns_rollup, semi_join)
 
@@ -96,7 +96,7 @@ def orders_in_scope(erp: Mapping[str, DataFrame], headers: DataFrame, rules: R.M
     Restricting to referenced order numbers first keeps the order-line and
     delivery scans proportional to the window rather than to all history.
     """
-    refs = (headers.select(F.col("ct_reference").try_cast("bigint").alias("order_number"))
+    refs = (headers.select(order_reference("ct_reference").alias("order_number"))
             .filter(F.col("order_number").isNotNull()).distinct())
     ooha = erp["oe_order_headers_all"].join(refs, "order_number", "left_semi")
 
@@ -114,11 +114,11 @@ def orders_in_scope(erp: Mapping[str, DataFrame], headers: DataFrame, rules: R.M
     src = F.col("source_type_code")
     lines = erp["oe_order_lines_all"]
     flags = exists_any(lines.join(orders.select("header_id"), "header_id", "left_semi"), "header_id",
-                       _int_or_null=(src == R.SOURCE_INTERNAL) | src.isNull(),
-                       _external=(src == R.SOURCE_EXTERNAL))
+                       _int_or_null=(src == rules.internal_source) | src.isNull(),
+                       _external=(src == rules.external_source))
     orders = (orders.join(flags, "header_id")
               .filter(F.col("_int_or_null")
-                      | (F.col("_external") & is_true(~upper_like("order_type", R.TRACTOR_PATTERN))))
+                      | (F.col("_external") & is_true(~upper_like("order_type", rules.tractor_pattern))))
               .drop("_int_or_null", "_external"))
 
     # price list name: scalar subquery, at most one row per list
@@ -170,14 +170,26 @@ def site_cities(erp: Mapping[str, DataFrame], how: str) -> DataFrame:
             .select("site_use_id", "city"))
 
 
-def adjustments(erp: Mapping[str, DataFrame], rules: R.MartRules) -> DataFrame:
-    """Per invoice: sum of adjustments except the excluded receivables type."""
+def rejected_references(headers: DataFrame) -> DataFrame:
+    """One row: how many order references of the given invoices are no order numbers."""
+    return headers.agg(F.count_if(F.col("ct_reference").isNotNull() & order_reference("ct_reference").isNull())
+                       .alias("rejected_references"))
+
+
+def adjustments(erp: Mapping[str, DataFrame], rules: R.MartRules, invoices: DataFrame) -> DataFrame:
+    """Per given invoice: sum of adjustments except the excluded receivables type.
+
+    The left-semi join on the invoice comes before the grouping, so the cost
+    follows the window, not all adjustments ever made.
+    """
     kinds = (erp["ar_receivables_trx_all"]
              .filter(F.col("name") != rules.excluded_adjustment_type)
              .select("receivables_trx_id"))
-    return (erp["ar_adjustments_all"].join(kinds, "receivables_trx_id")
+    return (erp["ar_adjustments_all"]
+            .join(invoices.select("customer_trx_id"), "customer_trx_id", "left_semi")
+            .join(kinds, "receivables_trx_id")
             .groupBy("customer_trx_id")
-            .agg(F.sum(F.coalesce(F.col("line_adjusted"), F.lit(0).cast("decimal(18,2)")))
+            .agg(F.sum(F.coalesce(F.col("line_adjusted"), F.lit(0).cast("decimal(28,10)")))
                  .alias("adjusting")))
 
 
@@ -194,7 +206,7 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
     # returns gate: both inputs are header-level DISTINCT key columns, so filtering first is exact
     orders = orders.filter(returns_gate("order_type", "pricelist",
                                         rules.return_order_pattern, rules.return_pricelist_patterns))
-    h = (headers.withColumn("_order_number", F.col("ct_reference").try_cast("bigint"))
+    h = (headers.withColumn("_order_number", order_reference("ct_reference"))
          .join(orders, F.col("_order_number") == orders["order_number"])
          .drop("_order_number", "order_number"))
 
@@ -221,10 +233,11 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
     ship_site = site_cities(erp, "left").select(
         F.col("site_use_id").alias("ship_to_site_use_id"), F.col("city").alias("ship_city"))
     h = (h.join(ship, "ship_to_customer_id", "left").join(ship_site, "ship_to_site_use_id", "left")
-         .withColumn("ship_to_city", ship_to_city("sold_to_customer", "kota", "ship_city"))
+         .withColumn("ship_to_city", ship_to_city("sold_to_customer", "kota", "ship_city",
+                                                  rules.retail_pattern))
          .drop("ship_city"))
 
-    h = attach(h, adjustments(erp, rules), "customer_trx_id", defaults={"adjusting": 0})
+    h = attach(h, adjustments(erp, rules, headers), "customer_trx_id", defaults={"adjusting": 0})
 
     # dpp: invoice total over all its lines, every line type (narrow columns only). Keyed on
     # the plain window headers, not on ``h``, so the enrichment above is not planned twice.
@@ -253,10 +266,14 @@ def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAUL
             .join(sales_items(erp, codes, rules), "inventory_item_id")
             .join(warehouses(erp), "warehouse_id"))
 
-    ret = returns_rollup(erp["ra_customer_trx_lines_all"], erp["ra_customer_trx_all"])
+    # the lines of the plain window headers, so the enrichment above is not planned twice
+    window_lines = (erp["ra_customer_trx_lines_all"].filter(F.col("line_type") == "LINE")
+                    .join(window_invoices(erp, as_of, rules).select("customer_trx_id"),
+                          "customer_trx_id", "left_semi"))
+    ret = returns_rollup(erp["ra_customer_trx_lines_all"], erp["ra_customer_trx_all"], of=window_lines)
     rows = (attach(rows, ret, "customer_trx_line_id", "returned_line_id")
             .withColumn("qty_retur", F.coalesce(F.col("qty_retur_sum"),
-                                                F.lit(0).cast("decimal(28,2)"))))
+                                                F.lit(0).cast("decimal(22,4)"))))
     return rows.select(*DISTINCT_KEY).distinct()
 
 
@@ -296,7 +313,8 @@ def sales_mart_display(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules =
         F.col("sold_to_customer").alias("Nama Customer"),
         F.col("ship_to_city").alias("Kota Ship To"),
         F.col("sp_type").alias("Tipe Sparepart"),
-        sales_channel("order_type", "pricelist").alias("Tipe Penjualan"),
+        sales_channel("order_type", "pricelist", rules.channel_rules,
+                      rules.channel_default).alias("Tipe Penjualan"),
     )
 
 
@@ -309,5 +327,10 @@ def sales_mart(erp: Mapping[str, DataFrame], as_of: dt.date | str,
 
 
 def ordered_report(df: DataFrame, warehouse: str = "warehouse", order_type: str = "order_type") -> DataFrame:
-    """``ORDER BY warehouse, order_type`` with the source's nulls-last order (presentation only)."""
-    return df.orderBy(F.asc_nulls_last(warehouse), F.asc_nulls_last(order_type))
+    """``ORDER BY warehouse, order_type`` with the source's nulls-last order (presentation only).
+
+    Further keys break ties, so that the rows of one large warehouse and type
+    can be dealt over several tasks; the required order is kept.
+    """
+    ties = [c for c in ("no_invoice", "kode_barang", "nama_barang", "total_harga") if c in df.columns]
+    return df.orderBy(F.asc_nulls_last(warehouse), F.asc_nulls_last(order_type), *ties)

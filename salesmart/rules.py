@@ -10,7 +10,7 @@ order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- FIXED VALUES: item prefix code list, in its original comma order -----
 ITEM_CODE_LIST = (
@@ -226,7 +226,12 @@ class MartRules:
     tax_default: str = TAX_DEFAULT_FACTOR
     return_order_pattern: str = RETURN_ORDER_PATTERN
     return_pricelist_patterns: tuple = RETURN_PRICELIST_PATTERNS
-    extra: dict = field(default_factory=dict)
+    tractor_pattern: str = TRACTOR_PATTERN
+    internal_source: str = SOURCE_INTERNAL
+    external_source: str = SOURCE_EXTERNAL
+    channel_rules: tuple = CHANNEL_RULES
+    channel_default: str = CHANNEL_DEFAULT
+    retail_pattern: str = RETAIL_CUSTOMER_PATTERN
 
 
 DEFAULT_RULES = MartRules()

@@ -13,7 +13,8 @@ Role mapping:
 * invoice header / sales order  <- orders (one invoice per order)
 * invoice line / order line / delivery detail <- lineitem
   (line id = orderkey*100 + linenumber; R-flag lines are returns of the
-  lines with the same order and line number)
+  lines with the same order and line number; every fourth invoice refers back
+  to the one two keys before it)
 * item <- part, warehouse <- supplier, operating unit <- nation,
   customer / party / site / location / user <- customer
 """
@@ -67,15 +68,15 @@ ERP_VIEWS: dict[str, View] = {
             "CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 4 WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END AS cust_trx_type_id",
             'o_orderdate AS trx_date',
             "'INV-' || CAST(o_orderkey AS STRING) AS trx_number",
-            "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'SO/' || CAST(o_orderkey AS STRING) WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE CAST(o_orderkey AS STRING) END AS ct_reference",
-            "CASE o_orderstatus WHEN 'O' THEN NULL WHEN 'F' THEN CAST(1 AS DECIMAL(18,6)) ELSE CAST(1.5 AS DECIMAL(18,6)) END AS exchange_rate",
+            "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'SO/' || CAST(o_orderkey AS STRING) WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED' THEN NULL WHEN o_orderkey % 10 = 0 THEN CAST(CAST(o_orderkey / 10 AS BIGINT) AS STRING) || 'E1' WHEN o_orderkey % 11 = 4 THEN CAST(o_orderkey AS STRING) || '.0' ELSE CAST(o_orderkey AS STRING) END AS ct_reference",
+            "CASE o_orderstatus WHEN 'O' THEN NULL WHEN 'F' THEN CAST(1 AS DECIMAL(15,6)) ELSE CAST(1.5 AS DECIMAL(15,6)) END AS exchange_rate",
             'CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS org_id',
             'o_custkey AS sold_to_customer_id',
             'o_custkey AS bill_to_customer_id',
             "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS ship_to_customer_id",
             "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS ship_to_site_use_id",
             'o_custkey AS bill_to_site_use_id',
-            'CAST(NULL AS BIGINT) AS previous_customer_trx_id',
+            'CASE WHEN o_orderkey % 4 = 3 THEN o_orderkey - 2 END AS previous_customer_trx_id',
         ),
     ),
     "ra_customer_trx_lines_all": View(
@@ -88,9 +89,9 @@ ERP_VIEWS: dict[str, View] = {
             "CASE WHEN l_discount = 0.0 THEN 'FREIGHT' ELSE 'LINE' END AS line_type",
             'l_partkey AS inventory_item_id',
             "'PART-' || CAST(l_partkey AS STRING) AS description",
-            "CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_quantity AS DECIMAL(18,2)) END AS quantity_invoiced",
-            "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN CAST(0.0 - l_quantity AS DECIMAL(18,2)) END AS quantity_credited",
-            'CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,6)) AS unit_selling_price',
+            "CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_quantity AS DECIMAL(12,4)) END AS quantity_invoiced",
+            "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN CAST(0.0 - l_quantity AS DECIMAL(12,4)) END AS quantity_credited",
+            'CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(20,10)) AS unit_selling_price',
             "CASE WHEN l_tax = 0.0 THEN NULL WHEN l_tax = 0.08 THEN 'PPN-10-11' ELSE 'PPN-' || CAST(CAST(round(l_tax * 100) AS INT) + 6 AS STRING) END AS tax_classification_code",
             'l_suppkey AS warehouse_id',
         ),
@@ -244,7 +245,7 @@ ERP_VIEWS: dict[str, View] = {
         (
             'l_orderkey AS customer_trx_id',
             'CAST(l_linenumber AS BIGINT) AS receivables_trx_id',
-            "CASE WHEN l_linestatus = 'F' THEN NULL ELSE CAST(0.0 - l_extendedprice AS DECIMAL(18,2)) END AS line_adjusted",
+            "CASE WHEN l_linestatus = 'F' THEN NULL ELSE CAST(0.0 - l_extendedprice AS DECIMAL(28,10)) END AS line_adjusted",
         ),
         where="l_returnflag = 'A'",
     ),

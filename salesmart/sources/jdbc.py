@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import rules as R
-from .tables import ERP_SCHEMAS, ErpTables
+from .tables import ErpTables
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: Mapping[str, str] | None = None,
@@ -64,6 +64,7 @@ def jdbc_tables(spark: SparkSession, url: str, *, schema: str | None = None,
 
     ``partitioning[table] = (column, lo, hi, n)`` splits a table into ``n``
     range queries; ``(column, n)`` asks the database for the bounds first.
+    A table that is not named is read through one connection, by one task.
     """
     partitioning = partitioning or {}
 
@@ -106,6 +107,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append",
         writer = writer.option(k, v)
     writer.save()
 
-
-def erp_table_names() -> list[str]:
-    return list(ERP_SCHEMAS)

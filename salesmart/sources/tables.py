@@ -3,8 +3,9 @@
 A source arrives either as landed parquet (one directory per table) or over
 JDBC (:mod:`salesmart.sources.jdbc`). Either way each table is narrowed to
 the column types below at read time: ids to ``bigint`` (the JDBC mapping of
-an unbounded NUMBER is ``decimal(38,10)``), quantities and prices to small
-decimals, so later arithmetic stays exact and hash keys stay 8 bytes.
+an unbounded NUMBER is ``decimal(38,10)``), quantities and prices to
+decimals wide enough for the products to stay exact, so hash keys stay 8
+bytes. A value that its type cannot hold exactly raises; nothing is rounded.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import exact_cast_sql
+
 ERP_SCHEMAS: dict[str, list[tuple[str, str]]] = {
     "ra_customer_trx_all": [
         ("customer_trx_id", "bigint"), ("cust_trx_type_id", "bigint"),
         ("trx_date", "timestamp_ntz"), ("trx_number", "string"), ("ct_reference", "string"),
-        ("exchange_rate", "decimal(18,6)"), ("org_id", "bigint"),
+        ("exchange_rate", "decimal(15,6)"), ("org_id", "bigint"),
         ("sold_to_customer_id", "bigint"), ("bill_to_customer_id", "bigint"),
         ("ship_to_customer_id", "bigint"), ("ship_to_site_use_id", "bigint"),
         ("bill_to_site_use_id", "bigint"), ("previous_customer_trx_id", "bigint"),
@@ -26,8 +29,8 @@ ERP_SCHEMAS: dict[str, list[tuple[str, str]]] = {
         ("customer_trx_line_id", "bigint"), ("customer_trx_id", "bigint"),
         ("previous_customer_trx_line_id", "bigint"), ("line_number", "int"),
         ("line_type", "string"), ("inventory_item_id", "bigint"), ("description", "string"),
-        ("quantity_invoiced", "decimal(18,2)"), ("quantity_credited", "decimal(18,2)"),
-        ("unit_selling_price", "decimal(18,6)"), ("tax_classification_code", "string"),
+        ("quantity_invoiced", "decimal(12,4)"), ("quantity_credited", "decimal(12,4)"),
+        ("unit_selling_price", "decimal(20,10)"), ("tax_classification_code", "string"),
         ("warehouse_id", "bigint"),
     ],
     "ra_cust_trx_types_all": [("cust_trx_type_id", "bigint"), ("name", "string")],
@@ -60,7 +63,7 @@ ERP_SCHEMAS: dict[str, list[tuple[str, str]]] = {
     "hr_all_organization_units": [("organization_id", "bigint"), ("name", "string")],
     "ar_adjustments_all": [
         ("customer_trx_id", "bigint"), ("receivables_trx_id", "bigint"),
-        ("line_adjusted", "decimal(18,2)"),
+        ("line_adjusted", "decimal(28,10)"),
     ],
     "ar_receivables_trx_all": [("receivables_trx_id", "bigint"), ("name", "string")],
     "wsh_delivery_details": [("source_line_id", "bigint"), ("batch_id", "bigint")],
@@ -92,7 +95,7 @@ def narrow(df: DataFrame, name: str) -> DataFrame:
         if f.dataType.simpleString() == t and f.name == c:
             exprs.append(f"`{c}`")
         else:
-            exprs.append(f"CAST(`{f.name}` AS {t}) AS `{c}`")
+            exprs.append(f"{exact_cast_sql(f'`{f.name}`', f.dataType, t, c)} AS `{c}`")
     return df.selectExpr(*exprs)
 
 
@@ -119,11 +122,12 @@ class ErpTables(Mapping):
 
 def parquet_tables(spark: SparkSession, root: str) -> ErpTables:
     """ERP tables landed as parquet under ``root/<table>`` (directory or ``.parquet``)."""
-    import os
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
 
     def load(name: str) -> DataFrame:
         path = f"{root.rstrip('/')}/{name}"
-        if root.startswith("/") and not os.path.exists(path) and os.path.exists(path + ".parquet"):
+        where = hadoop.Path(path)  # looked up where Spark reads, not on the driver's disk
+        if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
             path += ".parquet"
         return spark.read.parquet(path)
 

@@ -25,13 +25,38 @@ def test_missing_column_fails_extra_is_reported(spark):  # P5
 
 
 def test_dates_converted_when_present(spark):  # P6, X22
-    df = spark.createDataFrame([("2001-02-03 04:05:06", "bad")], "tgl_invoice string, tgl_so string")
+    df = spark.createDataFrame([("2001-02-03 04:05:06", None)], "tgl_invoice string, tgl_so string")
     out = C.to_timestamps(df, ["tgl_invoice", "tgl_so", "absent"])
     r = out.collect()[0]
     assert r.tgl_invoice == dt.datetime(2001, 2, 3, 4, 5, 6) and r.tgl_so is None
     assert dict(out.dtypes)["tgl_invoice"] == "timestamp_ntz"
 
 
+def test_bad_date_text_raises(spark):  # P6, X22: the source job raises too
+    df = spark.createDataFrame([("31/12/2021",)], "tgl_invoice string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        C.to_timestamps(df, ["tgl_invoice"]).collect()
+
+
+def test_date_text_does_not_pass_through_a_time_zone(spark):  # 02:30 does not exist on that day in Berlin
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.createDataFrame([("2021-03-28 02:30:00",)], "tgl_invoice string")
+        r = C.to_timestamps(df, ["tgl_invoice"]).select(F.col("tgl_invoice").cast("string").alias("t")).collect()[0]
+        assert r.t == "2021-03-28 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_digits_beyond_the_target_scale_raise(spark):  # S6: a full copy is loss-free or fails
+    df = spark.createDataFrame([(Decimal("0.123456789012345"),)], "N decimal(38,15)")
+    with pytest.raises(Exception, match="more decimals"):
+        C.apply_contract(df, [("N", "NUMERIC")]).collect()
+    fits = spark.createDataFrame([(Decimal("0.125"),), (None,)], "N decimal(38,15)")
+    assert [r.N for r in C.apply_contract(fits, [("N", "NUMERIC")]).collect()] == [Decimal("0.125"), None]
+
+
 def test_fill_strings_only(spark):  # P7, T8
     df = spark.createDataFrame([(None, None, None)], "s string, n decimal(10,2), d date")
     r = C.fill_strings(df).collect()[0]

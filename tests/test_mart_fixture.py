@@ -139,16 +139,3 @@ def test_command_line_mart_refresh(spark, erp_root, tmp_path, capsys):  # the sc
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["rows_fresh"] == len(FX.EXPECTED) and report["version"] == 1
     assert History(spark, root).read().count() == len(FX.EXPECTED)
-
-
-def test_dropping_distinct_only_subqueries_keeps_rows_on_fixture(erp_root):  # C5, C6
-    from collections import Counter
-
-    from tests.test_queries import _with_dropped_subqueries
-
-    con = duckdb.connect()
-    for name in ERP_SCHEMAS:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{erp_root}/{name}/*.parquet')")
-    base = Counter(con.execute(MART_ON_ERP_SQL).fetchall())
-    full = Counter(con.execute(_with_dropped_subqueries(MART_ON_ERP_SQL)).fetchall())
-    assert full == base and sum(base.values()) == len(FX.EXPECTED)
