@@ -90,9 +90,14 @@ def sales_items(erp: Mapping[str, DataFrame], codes: DataFrame, rules: R.MartRul
             .select("inventory_item_id", "segment1"))
 
 
-def orders_in_scope(erp: Mapping[str, DataFrame], headers: DataFrame, rules: R.MartRules) -> DataFrame:
+def orders_in_scope(erp: Mapping[str, DataFrame], headers: DataFrame, rules: R.MartRules, *,
+                    guard: bool = True) -> DataFrame:
     """Sales orders referenced by the window's invoices, with everything the mart reads from them.
 
+    An ambiguous price list fails the job; with ``guard=False`` the number of
+    its names comes along (``pricelist__n``) for a caller that filters further
+    and enforces it on what is left.
+
     Restricting to referenced order numbers first keeps the order-line and
     delivery scans proportional to the window rather than to all history.
     """
@@ -124,7 +129,9 @@ def orders_in_scope(erp: Mapping[str, DataFrame], headers: DataFrame, rules: R.M
     # price list name: scalar subquery, at most one row per list
     plist = guarded_lookup(erp["qp_list_headers_tl"], "list_header_id", "name", "pricelist",
                            distinct=False)
-    orders = enforce_single(attach(orders, plist, "price_list_id", "list_header_id"), "pricelist")
+    orders = attach(orders, plist, "price_list_id", "list_header_id")
+    if guard:
+        orders = enforce_single(orders, "pricelist")
 
     # lowest delivery batch over all orders with the same order number
     scope_headers = erp["oe_order_headers_all"].join(refs, "order_number", "left_semi").select(
@@ -137,6 +144,7 @@ def orders_in_scope(erp: Mapping[str, DataFrame], headers: DataFrame, rules: R.M
     orders = attach(orders, no_do, "order_number")
 
     return orders.select(
+        *([] if guard else ["pricelist__n"]),
         "order_number", "ordered_date", "order_type", "pricelist", "no_do", "shipping_instructions",
         F.col("attribute1").alias("nama"), F.col("attribute2").alias("alamat1"),
         F.col("attribute3").alias("alamat2"), F.col("attribute4").alias("kota"),
@@ -202,10 +210,12 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
     line side is joined only once afterwards.
     """
     headers = window_invoices(erp, as_of, rules)
-    orders = orders_in_scope(erp, headers, rules)
+    orders = orders_in_scope(erp, headers, rules, guard=False)
     # returns gate: both inputs are header-level DISTINCT key columns, so filtering first is exact
+    # (an ambiguous price list passes, to fail at the guard if a line reaches it)
     orders = orders.filter(returns_gate("order_type", "pricelist",
-                                        rules.return_order_pattern, rules.return_pricelist_patterns))
+                                        rules.return_order_pattern, rules.return_pricelist_patterns)
+                           | (F.col("pricelist__n") > 1))
     h = (headers.withColumn("_order_number", order_reference("ct_reference"))
          .join(orders, F.col("_order_number") == orders["order_number"])
          .drop("_order_number", "order_number"))
@@ -274,7 +284,7 @@ def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAUL
     rows = (attach(rows, ret, "customer_trx_line_id", "returned_line_id")
             .withColumn("qty_retur", F.coalesce(F.col("qty_retur_sum"),
                                                 F.lit(0).cast("decimal(22,4)"))))
-    return rows.select(*DISTINCT_KEY).distinct()
+    return enforce_single(rows, "pricelist").select(*DISTINCT_KEY).distinct()
 
 
 def sales_mart_display(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
