@@ -34,8 +34,9 @@ from .common import fresh, staged
 from .components import components
 
 SEED = 42
-#: Fingerprints of a leaf, and of a cell's side, that the layout aims at.
+#: Fingerprints of a leaf that the layout aims at, and the most of a cell's side.
 LEAF = 2048
+CELL = 1 << 17
 MAX_LEAVES = 4096
 SAMPLE_PER_LEAF = 32
 #: Shingles whose bits are counted at once.
@@ -159,7 +160,7 @@ def fingerprint_links(prints: DataFrame, reach: int, column: str = "fp") -> Data
 
     visits = staged(prints.select(column).mapInPandas(visit, "leaf int, fp long, home boolean"), "visits")
     # at most MAX_LEAVES rows: how many cells a side each leaf needs
-    sides = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(4 * LEAF)).cast("int").alias("k"))
+    sides = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).cast("int").alias("k"))
     placed = visits.join(F.broadcast(sides), "leaf").withColumn(
         "c", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("k")).cast("int")
     )

@@ -90,6 +90,7 @@ def planted(n, seed):
 @pytest.mark.parametrize("leaf", [8, 40, 100_000])
 def test_links_of_the_tree_are_complete(spark, monkeypatch, leaf):
     monkeypatch.setattr(S, "LEAF", leaf)
+    monkeypatch.setattr(S, "CELL", 4 * leaf)
     prints = planted(300, leaf)
     df = spark.createDataFrame([(x,) for x in prints], "fp long")
     edges = S.fingerprint_links(df, 2)
