@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import staged
+from .common import ship, staged
 
 END_ID = 0
 ROUNDS = 150
@@ -112,6 +112,7 @@ def pieces(
 
     names = ["id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     schema = "id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return rows.mapInPandas(_whole_ids(cut), schema)
 

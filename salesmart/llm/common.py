@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
+import numpy as np
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once a session.
+
+    Workers import what functions refer to.  Where the driver found the package
+    through its own ``sys.path`` only, they could not; Spark sends them a
+    zip of the sources.
+    """
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(context, "_ships", None) == root or not os.path.isdir(root):
+        return  # sent already, or installed as an archive
+    name = os.path.basename(root)
+    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(root):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.join(name, os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context._ships = root
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 
@@ -38,6 +65,7 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     and gives the planner the real size.  The files go when the driver ends.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_folder(spark)}/llm-{what}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
@@ -68,3 +96,27 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def held_out(doc_id: Column) -> Column:
     """The evaluation fold: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+#: Bits of a bitmap of hashes: 8 MB, however many hashes there are.
+MARKS = 1 << 26
+
+
+def marks(hashes: DataFrame, column: str) -> Broadcast:
+    """A broadcast bitmap with the low bits of each hash set: at most MARKS / 64 words reach the driver."""
+    bit = F.pmod(column, F.lit(MARKS))
+    words = (
+        hashes.select(F.floor(bit / 64).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(pmod({column}, 64) as int))").alias("word"))
+        .groupBy("at")
+        .agg(F.bit_or("word").alias("word"))
+        .toArrow()
+    )
+    out = np.zeros(MARKS // 64, np.int64)
+    out[words["at"].to_numpy()] = words["word"].to_numpy()
+    return hashes.sparkSession.sparkContext.broadcast(out)
+
+
+def marked(bitmap: Broadcast, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    bit = hashes & np.int64(MARKS - 1)
+    return (bitmap.value[bit >> 6] >> (bit & 63)) & 1 == 1

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 SIGMA = 1.0
 #: Share of the marked text that a region must hold.
 LANDMARK_SHARE, REGION_SHARE = 0.5, 0.8
@@ -245,6 +247,7 @@ def main_text(html: Column) -> Column:
 
 def extract_pages(pages: DataFrame, id: str = "page_id", html: str = "html", *keep: str) -> DataFrame:
     """One row for each row of ``pages``: the id, ``keep``, text, n_chars and the blocks."""
+    ship(pages.sparkSession)
     return (
         pages.select(F.col(id), *keep, main_text(F.col(html)).alias("blocks"))
         .withColumn("text", F.concat_ws("\n", "blocks"))

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: Trigram bins of a language's distribution.
 BINS = 1 << 14
 #: Pseudo-count of a bin.
@@ -87,6 +89,7 @@ def count_trigrams(docs: DataFrame, lang: str = "lang", text: str = "text") -> D
             at = np.flatnonzero(n)
             yield pd.DataFrame({"lang": value, "bin": at.astype(np.int32), "n": n[at]})
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     parts = rows.mapInPandas(count, "lang string, bin int, n long")
     return parts.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
@@ -168,11 +171,12 @@ def _em(like, n, doc, starts, total, shares):
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """The model of all rows of ``docs``: BINS numbers a language reach the driver."""
-    return Model(count_trigrams(docs, lang, text).toPandas())
+    return Model(count_trigrams(docs, lang, text).toArrow().to_pandas())
 
 
 def language_mixture(model: Model, text: Column, spark) -> Column:
     """A struct for each text: lang, score, and the arrays langs and shares of its mixture."""
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, langs array<string>, shares array<double>")

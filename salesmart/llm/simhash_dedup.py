@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, staged
+from .common import fresh, ship, staged
 from .components import components
 
 SEED = 42
@@ -68,6 +68,8 @@ def fingerprint(text: bytes | None, width: int) -> int:
 def with_fingerprint(docs: DataFrame, text: str, width: int, name: str) -> DataFrame:
     """``docs`` with its fingerprint (long) in column ``name``; no shuffle."""
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("long")
     def prints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -145,6 +147,7 @@ def fingerprint_links(prints: DataFrame, reach: int, column: str = "fp") -> Data
     ``prints`` has distinct fingerprints and is best a stored table.
     """
     spark = prints.sparkSession
+    ship(spark)
     total = prints.count()
     leaves = max(1, min(MAX_LEAVES, -(-total // LEAF)))
     every = max(1, total // (leaves * SAMPLE_PER_LEAF))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .best_fit_packing import byte_letters
+from .common import ship
 
 KEEP = 1_000_000
 
@@ -126,6 +127,8 @@ def merger(path: str) -> PairMerger:
 def token_counts(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:
     """One row for each row of ``docs``: the id, n_bytes, n_tokens and over_limit."""
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = merger(vocabulary)

@@ -1,0 +1,64 @@
+import os
+import subprocess
+import sys
+
+import numpy as np
+import pytest
+
+from salesmart.llm import common as C
+
+CODE = """
+import sys
+sys.path.insert(0, {root!r})
+from salesmart.session import local_session
+from salesmart.llm import registry
+spark = local_session(2, shuffle_partitions=2)
+for name in ("op5_token_counts", "op6_html_extraction", "op9_simhash_near_dedup"):
+    print(name, registry.QUERIES[name](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+def test_workers_get_the_package(tmp_path):
+    """The driver may have the package on its own path only, and run anywhere."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", CODE.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "op9_simhash_near_dedup 200" in done.stdout
+
+
+def test_marks(spark):
+    rng = np.random.default_rng(1)
+    some = rng.integers(-(1 << 62), 1 << 62, 1000)
+    other = rng.integers(-(1 << 62), 1 << 62, 100_000)
+    bitmap = C.marks(spark.createDataFrame([(int(x),) for x in some], "h long"), "h")
+    assert C.marked(bitmap, some).all() and C.marked(bitmap, other).mean() < 0.001
+    none = C.marks(spark.createDataFrame([], "h long"), "h")
+    assert not C.marked(none, other).any()
+
+
+def test_fresh_names(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "key int, _key int, __KEY int")
+    assert C.fresh(df, "key", "row", "row") == ["___key", "_row", "__row"]
+
+
+def test_staged_keeps_rows_and_types(spark):
+    df = spark.sql("select 1L as a, array(1.5D) as b, struct('x' as y) as c, cast(null as string) as d")
+    out = C.staged(df, "t")
+    assert out.dtypes == df.dtypes and out.collect() == df.collect()
+
+
+def test_a_cluster_must_name_its_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        C.shared_folder(Session())
