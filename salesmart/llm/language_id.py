@@ -36,7 +36,7 @@ ROUNDS = 8
 PENALTY = 6.0
 MOST = 3
 #: (trigram, language) likelihoods held at once.
-CELLS = 4_000_000
+CELLS = 1_000_000
 
 UNKNOWN = "und"
 
