@@ -14,7 +14,8 @@
    each voter's accuracies and, from the second moments, the correlations of
    voters within a class; a voter's say is divided by how much others repeat it.
 4. A logistic regression on the voters' counts learns the posterior labels of
-   at most ``FIT_ROWS`` rows (the labels where known) and scores every row.
+   a sample of about ``FIT_ROWS`` rows at most, taken by the hash of the id (the
+   labels where known), and scores every row.
 
 The learned parts are small: a lexicon of ``ENTRIES``, a few numbers for each
 pair of voters, one weight a feature.  Texts are read three times, in parallel.
@@ -38,12 +39,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, staged
+from .common import held_out, marked, marks, ship, staged
 
 ENTRIES = 64
 #: Share of the toxic training documents that an entry must stand in.
 LEAST_SHARE = 0.01
-#: Rows that the classifier is fitted on, at most.
+#: Rows that the classifier is fitted on, at most and about.
 FIT_ROWS = 20_000
 ROUNDS = 6
 STEMS = (4, 5, 6, 7)
@@ -75,12 +76,13 @@ def _words(text: str | None) -> list[str]:
 def frequent_stems(toxic: DataFrame, total: int) -> list[str]:
     """Features in at least LEAST_SHARE of the toxic documents: no more than their mean number over that share."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
-    parts = [F.when(F.length("w") >= k, F.substring("w", 1, k)) for k in STEMS] + [F.concat("w", F.lit("$"))]
+
+    def of(w: Column) -> Column:
+        return F.array(*[F.when(F.length(w) >= k, F.substring(w, 1, k)) for k in STEMS], F.concat(w, F.lit("$")))
+
     found = (
-        toxic.select(F.monotonically_increasing_id().alias("row"), F.explode(words).alias("w"))
-        .select("row", F.explode(F.array(*parts)).alias("stem"))
+        toxic.select(F.explode(F.array_distinct(F.flatten(F.transform(words, of)))).alias("stem"))
         .where("stem is not null")
-        .distinct()
         .groupBy("stem")
         .count()
         .where(F.col("count") >= max(2, LEAST_SHARE * total))
@@ -138,7 +140,7 @@ def learn_lexicon(train: DataFrame) -> tuple[list[str], int, int]:
         yield pd.DataFrame({"i": i, "c1": out[0, 0], "c2": out[0, 1], "t1": out[1, 0], "t2": out[1, 1]})
 
     parts = train.select("text", F.col("y").cast("int").alias("y")).mapInPandas(count, "i long, c1 long, c2 long, t1 long, t2 long")
-    table = parts.groupBy("i").agg(*[F.sum(c).alias(c) for c in ("c1", "c2", "t1", "t2")]).toPandas().set_index("i").sort_index()
+    table = parts.groupBy("i").agg(*[F.sum(c).alias(c) for c in ("c1", "c2", "t1", "t2")]).toArrow().to_pandas().set_index("i").sort_index()
     once = _log_ratio(table["t1"].to_numpy(float), table["c1"].to_numpy(float), n_tox, n_clean)
     again = _log_ratio(table["t2"].to_numpy(float), table["c2"].to_numpy(float), n_tox, n_clean)
     g = np.maximum(once, again)
@@ -242,7 +244,7 @@ def _moments(rows: DataFrame, model: LabelModel | None, pairs: bool) -> list[np.
         if out is not None:
             yield pd.DataFrame({"i": np.arange(len(out)), "v": out})
 
-    sums = rows.mapInPandas(add, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").toPandas()["v"].to_numpy()
+    sums = rows.mapInPandas(add, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").toArrow().to_pandas()["v"].to_numpy()
     return np.split(sums, 2) if len(sums) else []
 
 
@@ -287,14 +289,23 @@ def fit_classifier(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """One row for each row of ``docs``: the id, held_out, score, predicted and known (the label-model's posterior)."""
+    ship(docs.sparkSession)
     # one label an id; ids without one, or with a null one, are unlabelled
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     known = known.where(~held_out(F.col("id")))
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    train = rows.join(known, "id")
-    lexicon, n_tox, n_clean = learn_lexicon(train.select("text", "y"))
+    # most texts have no training label: these don't travel, and the others travel once
+    labelled = marks(known.select(F.xxhash64("id").alias("h")), "h")
+
+    @F.pandas_udf("boolean")
+    def may_be_labelled(hashes: pd.Series) -> pd.Series:
+        return pd.Series(marked(labelled, hashes.to_numpy(np.int64)))
+
+    # labels grow with the corpus, so they are not broadcast at any size
+    train = rows.where(may_be_labelled(F.xxhash64("id"))).join(known.hint("merge"), "id").select("text", "y")
+    lexicon, n_tox, n_clean = learn_lexicon(staged(train, "train"))
     read = staged(read_features(rows, lexicon), "hits").withColumn("held_out", held_out(F.col("id")))
-    fit = staged(read.where(~F.col("held_out")).join(known, "id", "left").select("id", "hits", "y"), "fit")
+    fit = staged(read.where(~F.col("held_out")).join(known.hint("merge"), "id", "left").select("id", "hits", "y"), "fit")
     model = fit_label_model(fit) if n_tox and n_clean else None
     if model is None:
         share = n_tox / max(1, n_tox + n_clean)
@@ -302,8 +313,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
             F.col("id").alias(id), "held_out", F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"),
             F.lit(float(share)).alias("posterior"),
         )
-    # a sample that depends on the ids alone
-    sample = fit.orderBy(F.xxhash64("id")).limit(FIT_ROWS).toPandas()
+    # a sample that depends on the ids alone; about FIT_ROWS rows at most
+    every = -(-max(1, fit.count()) // FIT_ROWS)
+    sample = fit.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).toArrow().to_pandas()
     hits = np.stack(sample["hits"].to_numpy())
     y = sample["y"].to_numpy(np.float64, na_value=np.nan)
     target = np.where(np.isnan(y), model.posterior(voters(hits).astype(np.float64)), y)
