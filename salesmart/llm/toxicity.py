@@ -47,6 +47,8 @@ LEAST_SHARE = 0.01
 #: Rows that the classifier is fitted on, at most and about.
 FIT_ROWS = 20_000
 ROUNDS = 6
+#: Rows that a task of the label model adds up; the number of tasks follows the input.
+ROWS_A_TASK = 50_000
 STEMS = (4, 5, 6, 7)
 RIDGE = 1.0
 #: Words whose entries a Python worker remembers.
@@ -250,6 +252,8 @@ def _moments(rows: DataFrame, model: LabelModel | None, pairs: bool) -> list[np.
 
 def fit_label_model(rows: DataFrame) -> LabelModel | None:
     """Expectation-maximisation over ``rows`` (hits, y); None if one class is missing."""
+    # a task sends sums for all pairs of voters, so it should read many rows
+    rows = rows.coalesce(max(1, -(-rows.count() // ROWS_A_TASK)))
     model = None
     for turn in range(ROUNDS + 1):
         last = turn == ROUNDS
