@@ -3,13 +3,15 @@
 The standard library's parser streams its events; a block element begins a new
 line.  Each line has its text and the number of tags in it.  The ratios of the
 two are smoothed with a Gaussian along the page and split into two clusters by
-a threshold; the upper cluster marks content.  The element that holds most of
-the marked text (an ``article`` or ``main`` if there is one, else the innermost
-that still holds nearly all) is the content region, and all its lines are
+a threshold; the upper cluster marks content.  Where ``article`` and ``main``
+hold most of the marked text, the innermost that holds nearly all of their text is
+the content region, or all of them together; else it is the innermost element
+that still holds nearly all marked text.  All lines of the region are
 returned, short ones too; outside of an ``article`` or ``main``, lines of links
 and lines apart from the marked ones are not.  Menus, page headers, footers, sidebars, notices,
 adverts, forms, comments of readers and what is never shown are left out
-wherever they stand.
+wherever they stand.  The name of a class or id is evidence only: what it names
+stays if it holds an ``article`` or ``main`` or most of the marked text.
 
 Defined cases: null and empty html, and pages without text, give the empty
 string; broken markup (elements that are never closed, stray end tags, cut-off
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 from .common import ship
 
 SIGMA = 1.0
-#: Share of the marked text that a region must hold.
+#: Share of the marked text that landmarks must hold together; share of it, or of their text, that a region must hold.
 LANDMARK_SHARE, REGION_SHARE = 0.5, 0.8
+#: Share of the marked text from which on elements of one name are not left out for it.
+NAMED_SHARE = 0.5
 #: Share of a line's text in links from which on it is no content outside of landmarks.
 LINKS = 0.6
 
@@ -56,8 +60,16 @@ ASIDE_WORDS = frozenset(
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup share sharing social related "
     "recommended recommendations comment comments commentlist disqus respond widget widgets toolbar login pager pagination".split()
 )
+#: Names made of these alone tell comments, however many there are.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond".split())
+COMMENT_PARTS = COMMENT_WORDS | frozenset("area block body box container content feed form item list section thread wrapper".split())
+#: A name that begins with one of these tells how a page is laid out, not what the element is.
+STATES = frozenset("has hide is no not show with without".split())
+#: On an ``article``, only these count.
+ARTICLE_WORDS = frozenset(("comment", "comments", "ad", "related"))
 #: These count only outside of an article.
 OUTER_WORDS = frozenset(("header",))
+DIGITS = re.compile(r"\d+")
 SPLIT_NAMES = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -71,11 +83,14 @@ class Line:
 class LineReader(HTMLParser):
     """Collects the lines of a page that are not set aside."""
 
-    def __init__(self, by_name: bool = True):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.landmarks: set[int] = set()
-        self._by_name = by_name
+        #: Elements that hold landmarks.
+        self.holding: set[int] = set()
+        #: Elements named like what is left out: a key of the name, and whether it tells comments.
+        self.named: dict[int, tuple[tuple, bool]] = {}
         self._open: list[tuple[str, int, bool]] = []
         self._count = self._aside = self._links = self._tags = self._linked = 0
         self._text: list[str] = []
@@ -93,13 +108,8 @@ class LineReader(HTMLParser):
             return True
         if not attrs and tag != "header":
             return False
-        if tag in LANDMARK or tag in ("body", "html"):
-            inner = False
-        else:
-            inner = self._by_name
-        outside = not any(k in self.landmarks for _, k, _ in self._open)
         if tag == "header":
-            return outside
+            return not self._in_landmark()
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
@@ -107,15 +117,33 @@ class LineReader(HTMLParser):
                 return True
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
-            if inner and name in ("class", "id") and value:
-                words = {w.lower() for w in SPLIT_NAMES.split(value)}
-                if words & ASIDE_WORDS or outside and words & OUTER_WORDS:
-                    return True
-            if tag == "article" and name in ("class", "id") and value and self._by_name:
-                if {w.lower() for w in SPLIT_NAMES.split(value)} & {"comment", "comments", "ad", "related"}:
-                    return True
         return False
 
+    def _in_landmark(self) -> bool:
+        return any(k in self.landmarks for _, k, _ in self._open)
+
+    def _named(self, tag: str, attrs: list) -> tuple[tuple, bool] | None:
+        """The key of the element's name and whether it tells comments, if it is named like what is left out."""
+        if tag == "main":
+            return None
+        telling = ARTICLE_WORDS if tag == "article" else ASIDE_WORDS
+        found = comments = False
+        for name, value in attrs:
+            if name in ("class", "id") and value:
+                for part in value.split():
+                    words = [w.lower() for w in SPLIT_NAMES.split(part) if w]
+                    if not words or words[0] in STATES:
+                        continue
+                    bare = {w for w in words if not w.isdigit()}
+                    comments |= bare <= COMMENT_PARTS and not bare.isdisjoint(COMMENT_WORDS)
+                    found |= not telling.isdisjoint(bare) or (
+                        tag != "article" and not OUTER_WORDS.isdisjoint(bare) and not self._in_landmark()
+                    )
+        if not found:
+            return ((tag,), False) if tag == "form" else None
+        names = dict(attrs)
+        return (tag, DIGITS.sub("", names.get("class") or names.get("id") or "")), comments
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
             self._end_line()
@@ -129,14 +157,18 @@ class LineReader(HTMLParser):
         if tag in ("body", "html"):
             return
         aside = tag in UNSEEN or self._is_aside(tag, attrs)
-        if tag in HOLDER or aside:
+        named = None if aside or self._aside else self._named(tag, attrs)
+        if tag in HOLDER or aside or named:
             if tag == "li":
                 self._close("li", ("ul", "ol", "menu"))
             self._count += 1
+            if named:
+                self.named[self._count] = named
+            elif tag in LANDMARK and not aside and not self._aside:
+                self.landmarks.add(self._count)
+                self.holding.update(k for _, k, _ in self._open)
             self._open.append((tag, self._count, aside))
             self._aside += aside
-            if tag in LANDMARK:
-                self.landmarks.add(self._count)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -195,6 +227,44 @@ def upper_cluster(values: np.ndarray) -> np.ndarray:
         threshold = again
 
 
+def _marked(lines: list[Line]) -> np.ndarray:
+    return upper_cluster(smoothed(np.array([len(x.text) / max(1, x.tags) for x in lines])))
+
+
+def _unnamed(lines: list[Line], reader: LineReader) -> list[Line]:
+    """The lines without those in elements whose names tell that they are no content.
+
+    Comments go if any marked text stays.  Other names may mislead: such
+    elements go if those of the same name hold a minor share of the rest, and
+    if the rest without all of them is more than a trifle.
+    """
+    named = {k: x for k, x in reader.named.items() if k not in reader.holding}
+    if not named or not lines:
+        return lines
+    marked = _marked(lines)
+    keys = [[named[k] for k in x.holders if k in named] for x in lines]
+    spoken = [i for i, x in enumerate(keys) if any(c for _, c in x)]
+    if marked.sum() > marked[spoken].sum():
+        gone = set(spoken)
+    else:
+        gone = set()
+    rest = [i for i in range(len(lines)) if i not in gone]
+    names = {i: {key for key, _ in keys[i]} for i in rest}
+    weight: dict[tuple, int] = defaultdict(int)
+    total = 0
+    for i in rest:
+        if marked[i]:
+            total += len(lines[i].text)
+            for key in names[i]:
+                weight[key] += len(lines[i].text)
+    minor = {key for x in names.values() for key in x if weight[key] < NAMED_SHARE * total}
+    while True:
+        left = [i for i in rest if names[i].isdisjoint(minor)]
+        if not minor or sum(len(lines[i].text) for i in left if marked[i]) > (1 - REGION_SHARE) * total:
+            return [lines[i] for i in left]
+        minor.remove(max(minor, key=lambda key: (weight[key], key)))
+
+
 def _region(lines: list[Line], marked: np.ndarray, landmarks: set[int]) -> list[Line]:
     weight: dict[int, int] = defaultdict(int)
     total = 0
@@ -203,10 +273,16 @@ def _region(lines: list[Line], marked: np.ndarray, landmarks: set[int]) -> list[
             total += len(line.text)
             for k in line.holders:
                 weight[k] += len(line.text)
-    named = [k for k in landmarks if weight[k] > LANDMARK_SHARE * total]
-    if named:
-        best = max(named)  # the innermost: it was opened last
-        return [x for x in lines if best in x.holders]
+    inside = [i for i, x in enumerate(lines) if not landmarks.isdisjoint(x.holders)]
+    if sum(len(lines[i].text) for i in inside if marked[i]) > LANDMARK_SHARE * total:
+        # among landmarks all text counts that is no link: lines of near lengths may be marked differently
+        held: dict[int, int] = defaultdict(int)
+        for i in inside:
+            for k in {0, *lines[i].holders}:
+                held[k] += max(0, len(lines[i].text) - lines[i].linked)
+        named = [k for k in landmarks if held[k] >= REGION_SHARE * held[0] and held[k]]
+        # the innermost was opened last; several that share the text come together
+        return [lines[i] for i in inside if not named or max(named) in lines[i].holders]
     wide = [k for k, w in weight.items() if w >= REGION_SHARE * total]
     inside = [i for i, x in enumerate(lines) if not wide or max(wide) in x.holders]
     hits = [i for i in inside if marked[i]]
@@ -224,16 +300,10 @@ def main_blocks(html: str | None) -> list[str]:
     """The lines of the main text of a page, in order."""
     if not html:
         return []
-    for by_name in (True, False):  # names of classes may mislead on a page that has no other text
-        reader = LineReader(by_name)
-        reader.feed(html)
-        lines = reader.finish()
-        if lines:
-            break
-    else:
-        return []
-    ratios = np.array([len(x.text) / max(1, x.tags) for x in lines])
-    return [x.text for x in _region(lines, upper_cluster(smoothed(ratios)), reader.landmarks)]
+    reader = LineReader()
+    reader.feed(html)
+    lines = _unnamed(reader.finish(), reader)
+    return [x.text for x in _region(lines, _marked(lines), reader.landmarks)] if lines else []
 
 
 def main_text(html: Column) -> Column:

@@ -85,6 +85,37 @@ def test_edge_cases(html, want):
     assert text(html) == want
 
 
+ONE = " ".join(BODY.split())
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "has-sidebar", "site with-banner", "nav-fixed", "post social", "comments-open"])
+@pytest.mark.parametrize("container", ["article", "div"])
+def test_names_do_not_drop_the_text_of_a_page(name, container):
+    html = (
+        f'<body><a href="#c">Skip to content</a><div class="{name}"><{container}><h1>Title</h1><p>{BODY}</p><p>{BODY}</p></{container}>'
+        f'<div class="sidebar"><p>See also</p></div></div><p>&copy; 2020</p></body>'
+    )
+    assert text(html) == f"Title\n{ONE}\n{ONE}"
+
+
+def test_posts_with_a_misleading_name_stay_together():
+    posts = "".join(f'<div class="post social" id="p{i}"><p>{i} {BODY}</p></div>' for i in range(5))
+    html = f'<body><a href="#c">Skip to content</a>{posts}<div class="ad"><p>Buy now</p></div></body>'
+    assert text(html) == "\n".join(f"{i} {ONE}" for i in range(5))
+
+
+def test_many_comments_go():
+    comments = "".join(f'<div class="comment" id="comment-{i}"><p>{BODY}</p></div>' for i in range(9))
+    assert text(f'<body><div><p>The post. {BODY}</p></div><div id="comments">{comments}</div></body>') == f"The post. {ONE}"
+    assert text(f'<article><p>The post. {BODY}</p><div id="comments">{comments}</div></article>') == f"The post. {ONE}"
+
+
+def test_landmarks_that_share_the_text_come_together():
+    assert text(f"<main><p>Own. {BODY}</p><article><p>{BODY} End of it.</p></article></main>") == f"Own. {ONE}\n{ONE} End of it."
+    assert text(f"<article><p>One. {BODY}</p></article><article><p>{BODY} Some more words.</p></article>") == f"One. {ONE}\n{ONE} Some more words."
+    assert text(f"<main><article><p>{BODY * 9}</p></article><article><p>{BODY}</p></article></main>") == " ".join([ONE] * 9)
+
+
 def test_without_landmarks_the_dense_region_is_taken():
     links = "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(20))
     html = f"<body><ul>{links}</ul><div><h1>Head</h1><p>{BODY}</p><p>Short.</p><p>{BODY}</p></div><ul>{links}</ul></body>"
