@@ -11,11 +11,13 @@ returned, short ones too; outside of an ``article`` or ``main``, lines of links
 and lines apart from the marked ones are not.  Menus, page headers, footers, sidebars, notices,
 adverts, forms, comments of readers and what is never shown are left out
 wherever they stand.  The name of a class or id is evidence only: what it names
-stays if it holds an ``article`` or ``main`` or most of the marked text.
+stays if it holds an ``article`` or ``main`` or most of the marked text; so does
+a form, without its controls.
 
 Defined cases: null and empty html, and pages without text, give the empty
 string; broken markup (elements that are never closed, stray end tags, cut-off
-references) is read as the parser reads it; repeated rows are extracted each;
+references) is read as the parser reads it; a head that is not closed ends where
+the body, an element that cannot stand in a head, or text begins; repeated rows are extracted each;
 other columns are never read.
 """
 
@@ -51,9 +53,11 @@ BLOCK = frozenset(
 #: Elements that may hold lines; a paragraph or heading is a line itself.
 HOLDER = BLOCK - frozenset("dt dd h1 h2 h3 h4 h5 h6 hr li option p pre summary td th legend".split()) | {"li", "td", "th", "dd"}
 UNSEEN = frozenset("script style noscript template svg math iframe object canvas audio video map head title".split())
-ASIDE = frozenset("nav footer aside form dialog menu search button select textarea fieldset".split())
+ASIDE = frozenset("nav footer aside dialog menu search button select textarea fieldset".split())
 LANDMARK = frozenset(("article", "main"))
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+#: What may stand in a head; all else ends one that is open.
+IN_HEAD = frozenset("head title base link meta style script noscript template".split())
+ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promos promotion banner "
     "sidebar sidenav menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar cookie cookies consent "
@@ -139,12 +143,20 @@ class LineReader(HTMLParser):
                     found |= not telling.isdisjoint(bare) or (
                         tag != "article" and not OUTER_WORDS.isdisjoint(bare) and not self._in_landmark()
                     )
-        if not found:
-            return ((tag,), False) if tag == "form" else None
         names = dict(attrs)
+        if not found:
+            return ((tag,), False) if tag == "form" or (names.get("role") or "").lower() == "form" else None
         return (tag, DIGITS.sub("", names.get("class") or names.get("id") or "")), comments
 
+    def _end_head(self) -> None:
+        if self._open and self._open[-1][0] == "head":
+            self._close("head")
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "body":
+            self._close("head")
+        elif tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCK:
             self._end_line()
         elif tag == "br":
@@ -195,6 +207,8 @@ class LineReader(HTMLParser):
         self._close(tag)
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head()
         if not self._aside:
             self._text.append(data)
             if self._links:
@@ -232,7 +246,7 @@ def _marked(lines: list[Line]) -> np.ndarray:
 
 
 def _unnamed(lines: list[Line], reader: LineReader) -> list[Line]:
-    """The lines without those in elements whose names tell that they are no content.
+    """The lines without those in forms and in elements whose names tell that they are no content.
 
     Comments go if any marked text stays.  Other names may mislead: such
     elements go if those of the same name hold a minor share of the rest, and

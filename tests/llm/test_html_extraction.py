@@ -116,6 +116,30 @@ def test_landmarks_that_share_the_text_come_together():
     assert text(f"<main><article><p>{BODY * 9}</p></article><article><p>{BODY}</p></article></main>") == " ".join([ONE] * 9)
 
 
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<html><head><title>t</title><body><article><p>words</p></article></body></html>", "words"),
+        ("<head><title>t</title><meta charset=utf-8><article><p>words</p></article>", "words"),
+        ("<head><title>t</title><noscript><p>no</p></noscript><body><p>words</p>", "words"),
+        ("<head><title>t</title>words", "words"),
+        ("<html><head><title>t</title><style>p{}</style></head><body><p>words</p></body></html>", "words"),
+    ],
+)
+def test_a_head_without_end(html, want):
+    assert text(html) == want
+
+
+@pytest.mark.parametrize("container", ["article", "div"])
+def test_a_form_around_the_page(container):
+    html = page(
+        f"<h1>Title</h1><p>{BODY}</p><p>{BODY}</p><select><option>One<option>Two</select><textarea>x</textarea><button>Go</button>",
+        container=container,
+    )
+    html = html.replace("<body>", '<body><form id="aspnetForm" method="post"><input type="hidden" name="s">').replace("</body>", "</form></body>")
+    assert text(html) == f"Title\n{ONE}\n{ONE}"
+
+
 def test_without_landmarks_the_dense_region_is_taken():
     links = "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(20))
     html = f"<body><ul>{links}</ul><div><h1>Head</h1><p>{BODY}</p><p>Short.</p><p>{BODY}</p></div><ul>{links}</ul></body>"
