@@ -4,8 +4,8 @@ A document is a mixture of languages; each language is a distribution over
 hashed character trigrams (letters lower-cased, all else a space).  The
 distributions are counted over every training document.  For each document,
 expectation-maximisation estimates the share of each language; the shares are
-then fitted again for the best one, two and three languages, and the set with
-the best likelihood after a penalty for each added share is taken.  The
+then fitted again for the best one, two, three languages and so on, as long as
+one more brings a gain in likelihood above the penalty for its share.  The
 prediction is the language with the largest share of the set, the score that
 share.
 
@@ -34,7 +34,6 @@ ROUNDS = 8
 #: Log-likelihood that an added language must bring, in units of log(n) / 2;
 #: above 1 because overlapping trigrams are not independent.
 PENALTY = 6.0
-MOST = 3
 #: (trigram, language) likelihoods held at once.
 CELLS = 1_000_000
 
@@ -135,7 +134,7 @@ class Model:
         best = [None] * len(held)
         score = np.full(len(held), -np.inf)
         active = np.arange(len(held))
-        for m in range(1, min(MOST, k) + 1):
+        for m in range(1, k + 1):
             # only documents that gained from the language before are tried with one more
             rows = np.isin(doc, active)
             place = np.searchsorted(active, doc[rows])

@@ -31,6 +31,17 @@ def test_shares_of_a_planted_mixture(spark):
     assert langs == ["fr"] and shares == [1.0]
 
 
+def test_a_mixture_of_all_languages_keeps_them(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    model = L.train(docs)
+    by = {r.lang: r.text for r in docs.groupBy("lang").agg(F.max_by("text", F.when(F.length("text") < 20000, F.length("text"))).alias("text")).collect()}
+    langs, shares = model.mixtures([" ".join(by[x][:3000] for x in model.langs)])[0]
+    assert set(langs) == set(model.langs) and len(langs) == 4
+    assert max(abs(s - 0.25) for s in shares) < 0.1
+    langs, shares = model.mixtures([by["en"][:4500] + " " + " ".join(by[x][:2500] for x in ("de", "es", "fr"))])[0]
+    assert langs[0] == "en" and len(langs) == 4 and abs(shares[0] - 0.375) < 0.1
+
+
 def slow_em(like, n, rounds, k):
     pi = np.full(k, 1 / k)
     for _ in range(rounds):
