@@ -70,7 +70,17 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of tables that :func:`staged` returned and nothing will read again."""
+    for df in tables:
+        path = getattr(df, "_staged", None)
+        if path:
+            _remove(df.sparkSession, path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

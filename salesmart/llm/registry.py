@@ -18,6 +18,7 @@ from . import (
     exact_dedup,
     html_extraction,
     language_id,
+    merkle_manifest,
     simhash_dedup,
     source_mixing,
     substring_dedup,
@@ -211,6 +212,85 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest; where 5 divides the crc32 of the id, a text with lower-cased A-Z is claimed."""
+    return merkle_manifest.merkle_manifest(
+        documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text"),
+        claims={"text": F.translate(F.col("text"), UPPER, LOWER)},
+        claimed=held_out(F.col("doc_id")),
+    )
+
+
+def _op13_sql(below: int, above: int) -> str:
+    """The manifest with ``below`` levels in a source and ``above`` levels over them; a level of one node keeps it."""
+    def one(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join([*map(one, ('doc_id', 'source', 'lang', 'n_chars')), one(text)])})"
+
+    # the bits of a CRC, one by one
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    crc = (
+        "xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT), "
+        f"lambda a, b: list_reduce(range(8), lambda c, i: {bit}, xor(a, b)), 4294967295), 4294967295)"
+    )
+    ctes = [
+        f"""rows_ AS (
+  SELECT doc_id, source, {leaf('text')} AS leaf,
+         CASE WHEN {crc} % 5 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS claimed
+  FROM documents
+)""",
+        """ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS nodes
+  FROM rows_
+)""",
+        "n0 AS (SELECT tree, place AS node, nodes, leaf AS h FROM ranked)",
+    ]
+    for level in range(below + above):
+        if level == below:
+            ctes.append(f"n{level} AS (SELECT 0 AS tree, tree AS node, count(*) OVER () AS nodes, h FROM up{level})")
+        # what stands before and after a node in its run
+        ctes.append(
+            f"""s{level} AS (
+  SELECT *, node // 16 AS parent,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM n{level} WINDOW w AS (PARTITION BY tree, node // 16 ORDER BY node)
+)"""
+        )
+        ctes.append(
+            f"""{'up' if level + 1 == below else 'n'}{level + 1} AS (
+  SELECT tree, parent AS node, (nodes + 15) // 16 AS nodes, CASE WHEN nodes > 1 THEN sha256(string_agg(h, '' ORDER BY node)) ELSE any_value(h) END AS h
+  FROM s{level} GROUP BY tree, parent, nodes
+)"""
+        )
+    ctes.append("f0 AS (SELECT doc_id, leaf, tree, tree AS source_rank, place, coalesce(claimed, leaf) AS d, '' AS proof, leaf AS own FROM ranked)")
+    for level in range(below + above):
+        if level == below:
+            key, turned = "0", "f.source_rank"
+        elif level > below:
+            key, turned = "0", "f.place"
+        else:
+            key, turned = "f.tree", "f.place"
+        ctes.append(
+            f"""f{level + 1} AS (
+  SELECT doc_id, leaf, f.tree, source_rank, {turned} // 16 AS place,
+         CASE WHEN nodes > 1 THEN sha256(l || d || r) ELSE d END AS d,
+         CASE WHEN nodes > 1 THEN proof || l || r ELSE proof END AS proof
+  FROM f{level} f JOIN s{level} s ON s.tree = {key} AND s.node = {turned}
+)"""
+        )
+    last = below + above
+    return f"""WITH {', '.join(ctes)}
+SELECT doc_id, leaf, u.h AS subroot, n.h AS root, sha256(proof) AS proof_sha256, d AS folded_root, d = n.h AS verified
+FROM f{last} f JOIN up{below} u ON u.tree = f.source_rank JOIN n{last} n ON true"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -224,7 +304,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_simhash_near_dedup,
         op10_language_id,
+        op13_merkle_manifest,
     )
 }
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op8_source_mixing": _op8_sql()}
+SQL: dict[str, str] = {
+    "op1_exact_dedup": OP1_SQL,
+    "op8_source_mixing": _op8_sql(),
+    "op13_merkle_manifest": _op13_sql(below=6, above=3),
+}

@@ -1,0 +1,114 @@
+"""The manifest against a plain recursive tree, and its defined cases."""
+
+import zlib
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.llm import merkle_manifest as M
+from salesmart.llm.registry import QUERIES, SQL
+from tests.llm.conftest import SF, clashing
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def H(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    return H("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(nodes) > 1:
+        nodes = [H("".join(nodes[i : i + 16])) for i in range(0, len(nodes), 16)]
+        out.append(nodes)
+    return out
+
+
+def lower(text):
+    return None if text is None else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def expected(rows):
+    """(doc_id, leaf, subroot, root, proof, folded, verified) of each row, by definition."""
+    sources = {}
+    for r in rows:
+        sources.setdefault(r[1], []).append(r)
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        sources[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[s] = levels([leaf(r) for r in sources[s]])
+    top = levels([trees[s][-1][0] for s in order])
+
+    def path(tree, at):
+        for nodes in tree[:-1]:
+            run = at // 16 * 16
+            yield "".join(nodes[run:at]), "".join(nodes[at + 1 : run + 16])
+            at //= 16
+
+    out = []
+    for rank, s in enumerate(order):
+        for at, r in enumerate(sources[s]):
+            steps = [*path(trees[s], at), *path(top, rank)]
+            touched = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0
+            d = leaf((*r[:4], lower(r[4]))) if touched else leaf(r)
+            for left, right in steps:
+                d = H(left + d + right)
+            proof = H("".join(a + b for a, b in steps))
+            out.append((r[0], leaf(r), trees[s][-1][0], top[-1][0], proof, d, d == top[-1][0]))
+    return out
+
+
+def found(docs, **options):
+    from salesmart.llm.common import held_out
+    from salesmart.llm.registry import LOWER, UPPER
+
+    got = M.merkle_manifest(docs, claims={"text": F.translate("text", UPPER, LOWER)}, claimed=held_out(F.col("doc_id")), **options)
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+@pytest.mark.parametrize("height", [1, 2])
+def test_many_blocks_sources_and_lanes(spark, height):
+    """Small blocks, so that the exchange has several rounds in hot and small sources and over them."""
+    rows = [(i, "hot" if i % 3 else f"s{i % 70}", "en", i * 7, f"Text {i} Ünï") for i in range(2500)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    assert found(docs, height=height) == sorted(expected(rows), key=repr)
+
+
+@pytest.mark.parametrize("n", [1, 17, 4097])
+def test_sizes_of_one_source(spark, n):
+    rows = [(i, None, None, 3, "ABC") for i in range(n)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == sorted(expected(rows), key=repr)
+
+
+def test_edge_rows(spark):
+    rows = [
+        (1, None, None, None, None), (2, "", "", 0, ""), (None, "a", "en", 1, "X"), (None, None, None, None, None),
+        (3, "a", "en", 1, "Same"), (3, "a", "en", 1, "Same"), (3, "a", "en", 1, "Other"), (4, "Z", "en", 5, "é" * 100_000),
+        (5, "é", "de", 2, "😀 A"), (-6, "a", "de", -2, "\x00 A"), (15, "a", "de", 2, "TAMPERED"),
+    ]
+    got = found(spark.createDataFrame(rows, SCHEMA))
+    assert got == sorted(expected(rows), key=repr)
+    assert not all(r[-1] for r in got) and any(r[-1] for r in got)
+
+
+def test_empty_table_and_other_columns(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert found(docs) == []
+    rows = [(i, f"s{i % 4}", "en", 1, f"t{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    more = clashing(docs, "leaf", "id", "part", "place", "block", "row", "claimed", "at")
+    assert found(more) == found(docs) == sorted(expected(rows), key=repr)
+
+
+def test_query(spark, docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    got = QUERIES["op13_merkle_manifest"](spark, SF)
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected(rows), key=repr)
+    assert "op13_merkle_manifest" in SQL
