@@ -108,25 +108,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-#: Bits of a bitmap of hashes: 8 MB, however many hashes there are.
+#: Bits of a bitmap of hashes, unless a caller sizes it: 8 MB, however many hashes there are.
 MARKS = 1 << 26
 
 
-def marks(hashes: DataFrame, column: str) -> Broadcast:
-    """A broadcast bitmap with the low bits of each hash set: at most MARKS / 64 words reach the driver."""
-    bit = F.pmod(column, F.lit(MARKS))
+def marks(hashes: DataFrame, column: str, bits: int = MARKS) -> Broadcast:
+    """A broadcast bitmap with the low bits of each hash set: at most ``bits`` / 64 words reach the driver.
+
+    ``bits`` is a power of two.
+    """
+    bit = F.pmod(column, F.lit(bits))
     words = (
         hashes.select(F.floor(bit / 64).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(pmod({column}, 64) as int))").alias("word"))
         .groupBy("at")
         .agg(F.bit_or("word").alias("word"))
         .toArrow()
     )
-    out = np.zeros(MARKS // 64, np.int64)
+    out = np.zeros(bits // 64, np.int64)
     out[words["at"].to_numpy()] = words["word"].to_numpy()
     return hashes.sparkSession.sparkContext.broadcast(out)
 
 
 def marked(bitmap: Broadcast, hashes: np.ndarray) -> np.ndarray:
     """Which hashes have their bit set."""
-    bit = hashes & np.int64(MARKS - 1)
+    bit = hashes & np.int64(64 * len(bitmap.value) - 1)
     return (bitmap.value[bit >> 6] >> (bit & 63)) & 1 == 1

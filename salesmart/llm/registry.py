@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import (
     best_fit_packing,
+    decontamination,
     embedding_dedup,
     exact_dedup,
     html_extraction,
@@ -212,6 +213,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontamination(
+        documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
+    )
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -291,6 +298,35 @@ SELECT doc_id, leaf, u.h AS subroot, n.h AS root, sha256(proof) AS proof_sha256,
 FROM f{last} f JOIN up{below} u ON u.tree = f.source_rank JOIN n{last} n ON true"""
 
 
+OP12_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, list_slice(w, i, i + least(len(w), 10) - 1) AS ws
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)
+),
+places AS (
+  SELECT r, i, m, list_slice(w, i, i + m - 1) AS ws
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)
+),
+hits AS (SELECT r, i, p.m, item_id FROM places p JOIN windows v ON v.m = p.m AND v.ws = p.ws),
+words AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + m)) AS word_at FROM hits) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -304,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_simhash_near_dedup,
         op10_language_id,
+        op12_benchmark_decontamination,
         op13_merkle_manifest,
     )
 }
@@ -311,5 +348,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op8_source_mixing": _op8_sql(),
+    "op12_benchmark_decontamination": OP12_SQL,
     "op13_merkle_manifest": _op13_sql(below=6, above=3),
 }
