@@ -16,6 +16,7 @@ from . import (
     best_fit_packing,
     decontamination,
     embedding_dedup,
+    embedding_whitening,
     exact_dedup,
     html_extraction,
     language_id,
@@ -213,6 +214,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.embedding_whitening(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontamination(
         documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
@@ -340,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_simhash_near_dedup,
         op10_language_id,
+        op11_embedding_whitening,
         op12_benchmark_decontamination,
         op13_merkle_manifest,
     )
