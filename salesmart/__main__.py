@@ -8,7 +8,10 @@
         --jdbc-partition T:COLUMN:N | --jdbc-single T
 
 Over JDBC every table is either split into N range queries on a numeric column,
-or named as one that a single connection shall read. Connection properties (user, password, driver) come from ``--jdbc-prop k=v``;
+or named as one that a single connection shall read. ``TABLE:COLUMN:quantiles:N``
+takes split points with equally many rows between them instead of equal widths.
+``--jdbc-snapshot now`` (or a system change number) ties all queries of the load,
+the control total included, to one state of the database. Connection properties (user, password, driver) come from ``--jdbc-prop k=v``;
 the session comes from ``spark-submit``/the cluster (a local one otherwise).
 Prints the load report as one JSON line.
 """
@@ -28,15 +31,23 @@ def _props(items: list[str]) -> dict[str, str]:
     return dict(i.split("=", 1) for i in items or [])
 
 
-def _splits(items: list[str]) -> dict[str, tuple[str, int]]:
-    """``TABLE:COLUMN:N`` items as (column, n) by table."""
+def _splits(items: list[str]) -> dict[str, tuple]:
+    """``TABLE:COLUMN:N`` items as (column, n), and ``TABLE:COLUMN:quantiles:N`` as (column, "quantiles", n), by table."""
     out = {}
     for item in items:
-        table, column, n = item.rsplit(":", 2)
-        out[table] = (column, int(n))
+        table, *how, n = item.split(":")
+        out[table] = (*how, int(n))
     return out
 
 
+def _snapshot(value: str | None) -> dict:
+    if value is None:
+        return {}
+    from .sources import ORACLE_SNAPSHOT
+
+    return {"snapshot": ORACLE_SNAPSHOT, "at": None if value == "now" else value}
+
+
 def _check_named(parser: argparse.ArgumentParser, tables, splits: dict, single: list[str]) -> None:
     missing = sorted(set(tables) - set(splits) - set(single))
     if missing:
@@ -65,6 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--jdbc-prop", action="append", default=[])
     a.add_argument("--jdbc-partition", action="append", default=[], metavar="TABLE:COLUMN:N")
     a.add_argument("--jdbc-single", action="append", default=[], metavar="TABLE")
+    a.add_argument("--jdbc-snapshot", metavar="now|SCN", help="read one state of the database")
     a.add_argument("--history", required=True, help="root of the published mart history")
     a.add_argument("--existing", action="store_true", help="fail where no history was published yet")
     a.add_argument("--as-of", default=dt.date.today().isoformat(), help="the run's 'today' (default: today)")
@@ -76,12 +88,13 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--jdbc-prop", action="append", default=[])
     b.add_argument("--jdbc-partition", action="append", default=[], metavar="TABLE:COLUMN:N")
     b.add_argument("--jdbc-single", action="append", default=[], metavar="TABLE")
+    b.add_argument("--jdbc-snapshot", metavar="now|SCN", help="read one state of the database")
     b.add_argument("--history", required=True, help="root of the published copy")
 
     args = p.parse_args(argv)
     spark = _session()
     from .plans import copy_transactions, refresh_sales_mart
-    from .sources import jdbc_tables, parquet_tables, partition_bounds, read_jdbc
+    from .sources import jdbc_tables, parquet_tables, read_with_total
     from .sources.tables import ERP_SCHEMAS
 
     if args.cmd == "mart-refresh":
@@ -93,25 +106,19 @@ def main(argv: list[str] | None = None) -> int:
             splits = _splits(args.jdbc_partition)
             _check_named(p, ERP_SCHEMAS, splits, args.jdbc_single)
             erp = jdbc_tables(spark, args.jdbc_url, schema=args.jdbc_schema, properties=_props(args.jdbc_prop),
-                              partitioning=splits)
+                              partitioning=splits, **_snapshot(args.jdbc_snapshot))
         report = refresh_sales_mart(spark, erp, args.history, args.as_of, create=not args.existing)
     else:
         if args.source_parquet:
-            src = spark.read.parquet(args.source_parquet)
+            src, total = spark.read.parquet(args.source_parquet), None
         elif args.jdbc_url and args.source_table:
             props, splits = _props(args.jdbc_prop), _splits(args.jdbc_partition)
             _check_named(p, [args.source_table], splits, args.jdbc_single)
-            how = {}
-            if args.source_table in splits:
-                column, n = splits[args.source_table]
-                bounds = partition_bounds(spark, args.jdbc_url, args.source_table, column, properties=props)
-                if bounds is not None:
-                    how = dict(partition_column=column, lower_bound=bounds[0], upper_bound=bounds[1],
-                               num_partitions=n)
-            src = read_jdbc(spark, args.jdbc_url, args.source_table, properties=props, **how)
+            src, total = read_with_total(spark, args.jdbc_url, args.source_table, splits.get(args.source_table),
+                                         properties=props, **_snapshot(args.jdbc_snapshot))
         else:
             p.error("give --source-parquet or --jdbc-url with --source-table")
-        report = copy_transactions(src, args.history)
+        report = copy_transactions(src, args.history, control_total=total)
     print(json.dumps(dataclasses.asdict(report)))
     return 0
 

@@ -1,12 +1,14 @@
 """Sources and sinks: ERP tables from parquet or JDBC, driver-table views."""
 
 from .driver import DRIVER_AS_OF, driver_erp, driver_frames, duckdb_ctes
-from .jdbc import jdbc_tables, partition_bounds, read_jdbc, write_jdbc
+from .jdbc import (ORACLE_SNAPSHOT, Snapshot, current_state, jdbc_tables, partition_bounds,
+                   range_predicates, read_jdbc, read_partitioned, read_with_total, split_points, write_jdbc)
 from .tables import (ERP_SCHEMAS, ErpTables, catalog_tables, frames, land_bucketed, narrow,
                      parquet_tables)
 
 __all__ = [
-    "DRIVER_AS_OF", "ERP_SCHEMAS", "ErpTables", "catalog_tables", "land_bucketed", "driver_erp", "driver_frames", "duckdb_ctes",
+    "DRIVER_AS_OF", "ERP_SCHEMAS", "ORACLE_SNAPSHOT", "ErpTables", "Snapshot", "current_state", "range_predicates",
+    "read_partitioned", "read_with_total", "split_points", "catalog_tables", "land_bucketed", "driver_erp", "driver_frames", "duckdb_ctes",
     "frames", "jdbc_tables", "narrow", "parquet_tables", "partition_bounds", "read_jdbc",
     "write_jdbc",
 ]

@@ -111,3 +111,96 @@ def test_window_filter_reaches_the_database(spark, url):  # F10 over JDBC: no fu
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "*GreaterThanOrEqual(trx_date," in plan and "*LessThan(trx_date," in plan
     assert sorted(r.customer_trx_id for r in df.collect()) == [1, 2, 3, 5, 7, 8, 9, 10, 11, 12, 13, 20, 21]
+
+
+def test_snapshot_texts():  # S1, S2: every query of a load names the same state
+    from salesmart.sources import ORACLE_SNAPSHOT
+
+    assert ORACLE_SNAPSHOT.table("APPS.T", 4711) == "(SELECT * FROM APPS.T AS OF SCN 4711) s"
+    for bad in ("", "1; DROP TABLE t", "1) x"):
+        with pytest.raises(ValueError):
+            ORACLE_SNAPSHOT.table("T", bad)
+
+
+def _log(spark, url, lo, hi, mode="append"):
+    """Rows numbered by the transaction that brought them."""
+    df = spark.range(lo, hi).select(F.col("id").alias("CUSTOMER_TRX_ID"), F.col("id").alias("TXN"))
+    write_jdbc(df, url, "HEADERS", mode=mode, properties=DRIVER)
+
+
+def test_all_queries_of_a_load_read_one_state(spark, url, monkeypatch):  # S1, S2, S3
+    from salesmart.sources import Snapshot, jdbc, read_with_total
+
+    # a stand-in for flashback: a state is the highest transaction seen
+    by_txn = Snapshot("WHERE TXN <= {at}", "SELECT MAX(TXN) AS AT_TXN FROM HEADERS")
+    _log(spark, url, 0, 100, "overwrite")
+    texts = []
+    plain = jdbc.read_jdbc
+
+    def noted(spark, url, table, **options):
+        texts.append(table)
+        return plain(spark, url, table, **options)
+
+    monkeypatch.setattr(jdbc, "read_jdbc", noted)
+    df, total = read_with_total(spark, url, "HEADERS", ("TXN", 4), properties=DRIVER, snapshot=by_txn)
+    asked, *queries = texts
+    assert asked == f"({by_txn.ask}) q"
+    # the control total, the bounds and the rows come from the same state
+    assert len(queries) == 3 and all("(SELECT * FROM HEADERS WHERE TXN <= 99) s" in q for q in queries)
+    _log(spark, url, 100, 150)  # arrives while the load runs
+    assert df.rdd.getNumPartitions() == 4 and df.count() == total == 100
+    later, total = read_with_total(spark, url, "HEADERS", properties=DRIVER, snapshot=by_txn, at=119)
+    assert later.count() == total == 120
+    assert read_with_total(spark, url, "HEADERS", properties=DRIVER)[1] == 150
+
+
+def test_erp_tables_ask_for_the_state_once(spark, url, monkeypatch):  # S1
+    from salesmart.sources import Snapshot, jdbc
+
+    texts = []
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, url, table, **o: texts.append(table) or spark.createDataFrame(
+        [(5,)], "n int") if table.startswith("(ASK)") else texts.append(table) or spark.createDataFrame(
+        [(1, "x")], "cust_trx_type_id long, name string").withColumns(
+        {"transaction_type_id": F.lit(1), "list_header_id": F.lit(1)}))
+    tables = jdbc_tables(spark, "jdbc:none", schema="APPS", snapshot=Snapshot("AS OF SCN {at}", "ASK"))
+    for name in ("ra_cust_trx_types_all", "oe_transaction_types_tl", "qp_list_headers_tl"):
+        tables[name]
+    assert texts == ["(ASK) q"] + [f"(SELECT * FROM APPS.{t} AS OF SCN 5) s" for t in (
+        "ra_cust_trx_types_all", "oe_transaction_types_tl", "qp_list_headers_tl")]
+    assert tables.state == "5"
+
+
+def test_quantile_split_of_a_skewed_key(spark, url):  # S1: equal widths would put nearly all rows in one part
+    import statistics
+
+    from salesmart.sources import jdbc, read_partitioned
+
+    # 1,000 ids close together, 1,000 far apart and 40 nulls
+    ids = [*range(1000), *(10**6 * i for i in range(1, 1001))]
+    df = spark.createDataFrame([(i, i) for i in ids] + [(None, -1)] * 40, "ID long, V long")
+    write_jdbc(df, url, "SKEWED", mode="overwrite", properties=DRIVER)
+
+    def sizes(how):
+        back = read_partitioned(spark, url, "SKEWED", how, properties=DRIVER, tiles=jdbc.TILES_BY_ROW)
+        found = [r.n for r in back.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(found) == 2040 and back.select("ID").distinct().count() == 2001
+        return found
+
+    even = sizes(("ID", "quantiles", 8))
+    assert len(even) == 8 and max(even) <= 2 * statistics.median(even)
+    assert max(sizes(("ID", 8))) > 1000
+
+
+def test_tiles_by_a_database_with_ntile_and_values_that_fill_parts():  # S1
+    import duckdb
+
+    from salesmart.sources import jdbc, range_predicates
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i < 500 THEN 7 ELSE i END AS id FROM range(1000) r(i) UNION ALL SELECT NULL")
+    for tiles in (jdbc.TILES, jdbc.TILES_BY_ROW.replace(" / ", " // ")):
+        points = sorted({r[0] for r in con.execute(tiles.format(column="id", table="t", n=10)).fetchall()})
+        assert points[0] == 7 and len(points) == 6  # five parts hold nothing but 7
+        parts = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in range_predicates("id", points)]
+        assert sum(parts) == 1001 and max(parts) <= 601
+    assert range_predicates("id", []) == range_predicates("id", [3]) == ["1 = 1"]
