@@ -145,21 +145,41 @@ def is_true(pred: Column) -> Column:
     return F.coalesce(pred, F.lit(False))
 
 
+# The digits before and after the point, and the exponent, at the end of a text that is a number.
+_NUMBER = "'([0-9]*)[.]?([0-9]*)(?:[eE]([+-]?[0-9]+))?[^0-9]*$'"
+
+
+def _decimals_sql(text: str) -> str:
+    """SQL for the decimals that a number given as text needs (less than 1 for whole ones, null for zero)."""
+    whole, cut, power = (f"regexp_extract({text}, {_NUMBER}, {i})" for i in (1, 2, 3))
+    digits = f"concat({whole}, {cut})"
+    needed = f"rtrim('0', {digits})"
+    return (f"CASE WHEN {needed} <> '' THEN length({cut}) - (length({digits}) - length({needed})) "
+            f"- coalesce(cast(nullif({power}, '') AS int), 0) END")
+
+
 def exact_cast_sql(value: str, have: T.DataType, want: str, name: str) -> str:
     """SQL that casts ``value`` to ``want`` and raises where digits would be lost.
 
-    Only numbers with a fraction can lose any; other casts are plain (a value
-    that does not fit raises under ANSI mode).
+    Decimals are compared with the result in their own type. So are floats and doubles:
+    the result must be the number that the source has (0.1 is 0.1000, 0.123456 is not 0.1235).
+    Of text the decimals are counted. Other casts are plain; a value
+    that does not fit raises under ANSI mode.
     """
     cast = f"CAST({value} AS {want})"
-    loses = want.startswith("decimal") or want in ("bigint", "int", "smallint", "tinyint")
-    if isinstance(have, T.DecimalType) and loses:
-        scale = int(want.rstrip(")").split(",")[1]) if want.startswith("decimal(") else 0
-        if have.scale > scale:
-            # compared in the source's type: a common type of both would round the source as well
-            return (f"CASE WHEN {value} IS NULL OR CAST({cast} AS {have.simpleString()}) = {value} THEN {cast} "
-                    f"ELSE raise_error('{name}: a value has more decimals than {want} can hold') END")
-    return cast
+    scale = int(want.rstrip(")").split(",")[1]) if want.startswith("decimal(") else 0
+    decimal = want.startswith("decimal")
+    if not (decimal or want in ("bigint", "int", "smallint", "tinyint")):
+        return cast
+    if isinstance(have, T.DecimalType) and have.scale > scale or isinstance(have, (T.FloatType, T.DoubleType)):
+        # compared in the source's type: a common type of both would round the source as well
+        kept = f"CAST({cast} AS {have.simpleString()}) = {value}"
+    elif isinstance(have, T.StringType) and decimal:
+        kept = f"coalesce({_decimals_sql(value)} <= {scale}, true)"
+    else:
+        return cast
+    return (f"CASE WHEN {value} IS NULL OR {kept} THEN {cast} "
+            f"ELSE raise_error('{name}: a value has more decimals than {want} can hold') END")
 
 
 def exact_cast(column: str, have: T.DataType, want: str) -> Column:

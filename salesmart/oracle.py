@@ -375,7 +375,7 @@ SELECT customer_trx_line_id, tax_classification_code,
 SELECT order_number, order_type, pricelist, no_do FROM sale_orders
 WHERE order_number IN (SELECT wanted_order FROM sale_headers)""", "sale_orders sale_headers"),
         "ingest_exact": over(f"""
-SELECT CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS line_id, CAST(qty AS DOUBLE) AS qty, CAST(price AS DOUBLE) AS price,
+SELECT kind, CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS line_id, CAST(qty AS DOUBLE) AS qty, CAST(price AS DOUBLE) AS price,
        CAST(CAST(qty AS DECIMAL(12,4)) * (CAST(price AS DECIMAL(20,10)) * CAST(1 AS DECIMAL(15,6))) AS DOUBLE) AS amount
 FROM ({EXACT_SOURCE})"""),
     }
@@ -384,9 +384,12 @@ FROM ({EXACT_SOURCE})"""),
 _PRICED = """SELECT o.header_id, CASE WHEN o.order_type_id <> 5 THEN o.order_type END AS order_type, p.pricelist
   FROM typed_orders o LEFT JOIN price_names p ON p.list_header_id = o.price_list_id"""
 
-#: Amounts with more decimals than two and six: eighths, and prices that end in the tenth decimal.
-EXACT_SOURCE = """SELECT l_orderkey, l_linenumber, CAST(l_quantity / 8 AS DECIMAL(38,10)) AS qty,
-         CAST(l_extendedprice AS DECIMAL(38,10)) + CAST(0.0000000001 AS DECIMAL(38,10)) * l_linenumber AS price FROM lineitem"""
+#: Amounts with more decimals than two and six: eighths, sixteenths, and prices that end in the tenth decimal.
+EXACT_SOURCE = """SELECT kind, l_orderkey, l_linenumber, CAST(l_quantity / 8 AS DECIMAL(38,10)) AS qty,
+         CASE kind WHEN 'double' THEN CAST(l_extendedprice AS DECIMAL(38,10))
+                   WHEN 'float' THEN CAST(l_linenumber / 16.0 AS DECIMAL(38,10))
+                   ELSE CAST(l_extendedprice AS DECIMAL(38,10)) + CAST(0.0000000001 AS DECIMAL(38,10)) * l_linenumber END AS price
+  FROM lineitem, (VALUES ('decimal'), ('double'), ('float'), ('text')) k(kind)"""
 
 
 def mart_on_erp(lo: str, hi: str) -> str:

@@ -54,3 +54,36 @@ def test_command_line_wants_every_jdbc_table_named(capsys):  # S1, S2
     with pytest.raises(SystemExit):
         main(["mart-refresh", "--jdbc-url", "jdbc:x", "--history", "/tmp/none", "--jdbc-single", "hz_parties"])
     assert "ra_customer_trx_all" in capsys.readouterr().err
+
+
+@pytest.mark.parametrize("kind, good, bad", [
+    ("double", [0.1, 1234.5678, -3.0, 1e-4, None], [0.123456, 1e-5, 2.00001]),
+    ("float", [0.1, 3.0625, -7.0, None], [0.123456, 1e-6]),
+    ("string", ["0.1", " 12.3400000 ", "1E3", "12345E-4", "-.5", "7.", "0.0000000", "0E-50", "+1.2345", None],
+     ["0.123456", "1E-5", "123456E-5", "0.00001", "1.00000000000000000000000000001"]),
+])
+def test_no_kind_of_source_is_rounded(spark, kind, good, bad):
+    from decimal import Decimal
+
+    from salesmart.functions import exact_cast
+
+    def cast(values):
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+        return [r.v for r in df.select(exact_cast("v", df.schema["v"].dataType, "decimal(12,4)").alias("v")).collect()]
+
+    assert cast(good) == [None if v is None else Decimal(str(v).strip()).quantize(Decimal("0.0001")) for v in good]
+    for v in bad:
+        with pytest.raises(Exception, match="more decimals"):
+            cast([v])
+
+
+def test_binary_numbers_with_a_fraction_are_no_ids(spark):
+    from salesmart.functions import exact_cast
+
+    df = spark.createDataFrame([(3.0, 1)], "v double, i int")
+    assert df.select(exact_cast("v", df.schema["v"].dataType, "bigint")).first()[0] == 3
+    with pytest.raises(Exception, match="more decimals"):
+        df.select((F.col("v") + 0.5).alias("v")).select(exact_cast("v", df.schema["v"].dataType, "bigint")).collect()
+    text = spark.createDataFrame([("no number",)], "v string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        text.select(exact_cast("v", text.schema["v"].dataType, "decimal(12,4)")).collect()
