@@ -374,6 +374,9 @@ SELECT customer_trx_line_id, tax_classification_code,
         "orders_in_scope": over("""
 SELECT order_number, order_type, pricelist, no_do FROM sale_orders
 WHERE order_number IN (SELECT wanted_order FROM sale_headers)""", "sale_orders sale_headers"),
+        "lines_by_month": over("""
+SELECT customer_trx_line_id, customer_trx_id, line_type, CAST(unit_selling_price AS DOUBLE) AS unit_selling_price FROM money""",
+                               "money"),
         "ingest_exact": over(f"""
 SELECT kind, CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS line_id, CAST(qty AS DOUBLE) AS qty, CAST(price AS DOUBLE) AS price,
        CAST(CAST(qty AS DECIMAL(12,4)) * (CAST(price AS DECIMAL(20,10)) * CAST(1 AS DECIMAL(15,6))) AS DOUBLE) AS amount

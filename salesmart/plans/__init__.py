@@ -5,10 +5,11 @@ from .contract import (ContractError, apply_contract, check_columns, column_repo
 from .export import export_delimited, read_delimited
 from .jobs import copy_transactions, copy_transactions_jdbc, refresh_sales_mart
 from .mart import mart_rows, ordered_report, sales_mart, sales_mart_display
+from .spine import Spine, window_invoices, window_spine
 from .refresh import History, PublishError, RefreshReport, survivors
 
 __all__ = [
-    "ContractError", "History", "PublishError", "RefreshReport", "apply_contract",
+    "ContractError", "History", "Spine", "window_invoices", "window_spine", "PublishError", "RefreshReport", "apply_contract",
     "check_columns", "column_report", "copy_transactions", "copy_transactions_jdbc", "export_delimited", "fill_strings", "lower_columns",
     "mart_rows", "normalise_mart", "ordered_report", "read_delimited", "refresh_sales_mart",
     "rename_columns",

@@ -18,6 +18,8 @@ is a DataFrame plan with the same result, reshaped for a distributed engine:
   account → party, warehouse → organisation → operating unit) are joined
   among themselves first, so the large invoice-line side is joined once
   per chain instead of once per table;
+* the window's invoices and lines are read once and stored for all uses
+  (:mod:`salesmart.plans.spine`);
 * everything that hangs off the invoice header (orders, customers, sites,
   operating unit, adjustments, invoice total) is joined to the 12-month
   window of headers first (:func:`enriched_headers`); the invoice lines
@@ -41,11 +43,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules as R
-from ..functions import (gross_up, in_trailing_window, is_true, like_any, line_amount, line_qty,
+from ..functions import (gross_up, is_true, like_any, line_amount, line_qty,
                          not_like_all, order_reference, returns_gate, sales_channel, ship_to_city,
                          substr_from, unit_price, upper_like)
 from ..operators import (attach, code_list, enforce_single, exists_any, guarded_lookup,
                          returns_rollup, semi_join)
+from .spine import Spine, window_invoices, window_spine
 
 # The 36 live DISTINCT key columns, in the source's select order.
 DISTINCT_KEY = (
@@ -59,20 +62,9 @@ DISTINCT_KEY = (
 )
 
 
-def window_invoices(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) -> DataFrame:
-    """Invoice headers dated inside the trailing window whose type counts as a sale."""
-    types = (erp["ra_cust_trx_types_all"]
-             .filter(F.col("name").isin(list(rules.invoice_types)))
-             .select("cust_trx_type_id", F.col("name").alias("trx_source")))
-    return (erp["ra_customer_trx_all"]
-            .filter(in_trailing_window("trx_date", as_of, rules.window_months))
-            .join(types, "cust_trx_type_id")
-            .drop("cust_trx_type_id", "previous_customer_trx_id"))
-
-
-def invoice_lines(erp: Mapping[str, DataFrame], headers: DataFrame) -> DataFrame:
+def invoice_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
     """Lines of the given invoices with quantity, unit price and amount (exact decimals)."""
-    return (erp["ra_customer_trx_lines_all"]
+    return (lines
             .drop("previous_customer_trx_line_id")
             .join(headers, "customer_trx_id")
             .withColumn("qty", line_qty("quantity_invoiced", "quantity_credited"))
@@ -201,7 +193,7 @@ def adjustments(erp: Mapping[str, DataFrame], rules: R.MartRules, invoices: Data
                  .alias("adjusting")))
 
 
-def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) -> DataFrame:
+def enriched_headers(erp: Mapping[str, DataFrame], spine: Spine, rules: R.MartRules) -> DataFrame:
     """Window invoices with every header-level attribute and filter applied.
 
     Orders, operating unit, sold/bill/ship customer and sites, adjustments
@@ -209,7 +201,7 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
     joined here, where there is one row per invoice, and the (much larger)
     line side is joined only once afterwards.
     """
-    headers = window_invoices(erp, as_of, rules)
+    headers = spine.headers
     orders = orders_in_scope(erp, headers, rules, guard=False)
     # returns gate: both inputs are header-level DISTINCT key columns, so filtering first is exact
     # (an ambiguous price list passes, to fail at the guard if a line reaches it)
@@ -252,7 +244,7 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
     # dpp: invoice total over all its lines, every line type (narrow columns only). Keyed on
     # the plain window headers, not on ``h``, so the enrichment above is not planned twice.
     rate = headers.select("customer_trx_id", "exchange_rate")
-    dpp = (erp["ra_customer_trx_lines_all"]
+    dpp = (spine.lines
            .select("customer_trx_id", "quantity_invoiced", "quantity_credited", "unit_selling_price")
            .join(rate, "customer_trx_id")
            .groupBy("customer_trx_id")
@@ -262,25 +254,23 @@ def enriched_headers(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules) ->
 
 
 def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
-              spark: SparkSession | None = None, codes: DataFrame | None = None) -> DataFrame:
+              spark: SparkSession | None = None, codes: DataFrame | None = None,
+              spine: Spine | None = None) -> DataFrame:
     """The DISTINCT block: one row per distinct invoice-line fact.
 
-    Columns: the 36 DISTINCT key columns (see :data:`DISTINCT_KEY`).
+    Columns: the 36 DISTINCT key columns (see :data:`DISTINCT_KEY`). The window's
+    invoices and lines are read and written first, unless ``spine`` has them.
     """
     spark = spark or erp["ra_customer_trx_all"].sparkSession
     codes = codes if codes is not None else code_list(spark, rules)
 
-    h = enriched_headers(erp, as_of, rules)
-    rows = (invoice_lines(erp, h)
-            .filter(F.col("line_type") == "LINE")
+    spine = spine if spine is not None else window_spine(erp, as_of, rules)
+    h = enriched_headers(erp, spine, rules)
+    window_lines = spine.lines.filter(F.col("line_type") == "LINE")
+    rows = (invoice_lines(window_lines, h)
             .join(sales_items(erp, codes, rules), "inventory_item_id")
             .join(warehouses(erp), "warehouse_id"))
-
-    # the lines of the plain window headers, so the enrichment above is not planned twice
-    window_lines = (erp["ra_customer_trx_lines_all"].filter(F.col("line_type") == "LINE")
-                    .join(window_invoices(erp, as_of, rules).select("customer_trx_id"),
-                          "customer_trx_id", "left_semi"))
-    ret = returns_rollup(erp["ra_customer_trx_lines_all"], erp["ra_customer_trx_all"], of=window_lines)
+    ret = returns_rollup(spine.returns, erp["ra_customer_trx_all"], of=window_lines)
     rows = (attach(rows, ret, "customer_trx_line_id", "returned_line_id")
             .withColumn("qty_retur", F.coalesce(F.col("qty_retur_sum"),
                                                 F.lit(0).cast("decimal(22,4)"))))
@@ -288,11 +278,11 @@ def mart_rows(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAUL
 
 
 def sales_mart_display(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES,
-                       spark: SparkSession | None = None) -> DataFrame:
+                       spark: SparkSession | None = None, spine: Spine | None = None) -> DataFrame:
     """The 27 output columns under their display names (before the contract rename)."""
     spark = spark or erp["ra_customer_trx_all"].sparkSession
     all_codes = code_list(spark, rules)
-    rows = mart_rows(erp, as_of, rules, spark, all_codes)
+    rows = mart_rows(erp, as_of, rules, spark, all_codes, spine)
     codes = all_codes.select(F.col("item_code").alias("_prefix"), "sp_type")
     rows = rows.join(codes, substr_from(rows["segment1"], 1, 3) == codes["_prefix"])
     tax = F.col("tax_classification_code")
@@ -329,11 +319,12 @@ def sales_mart_display(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules =
 
 
 def sales_mart(erp: Mapping[str, DataFrame], as_of: dt.date | str,
-               rules: R.MartRules = R.DEFAULT_RULES, spark: SparkSession | None = None) -> DataFrame:
+               rules: R.MartRules = R.DEFAULT_RULES, spark: SparkSession | None = None,
+               spine: Spine | None = None) -> DataFrame:
     """The mart under its contract: 27 lower-case columns, dates as timestamps, strings filled."""
     from .contract import normalise_mart
 
-    return normalise_mart(sales_mart_display(erp, as_of, rules, spark))
+    return normalise_mart(sales_mart_display(erp, as_of, rules, spark, spine))
 
 
 def ordered_report(df: DataFrame, warehouse: str = "warehouse", order_type: str = "order_type") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "salesmart",
@@ -50,3 +51,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared folder."""
     return f"{checkpoint_dir(spark)}/salesmart-{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared folder and read back: computed once, whoever reads it, and of known size.
+
+    The files go with :func:`discard`, or when the driver ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    atexit.register(_delete, spark, path)
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that :func:`stored` returned and nothing will read again."""
+    for df in frames:
+        path = getattr(df, "_stored", None)
+        if path:
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()  # a folder of its own
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session may have ended before
+        pass

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import exact_cast_sql
 
@@ -100,7 +101,13 @@ def narrow(df: DataFrame, name: str) -> DataFrame:
 
 
 class ErpTables(Mapping):
-    """Lazy mapping ERP table name → narrowed DataFrame."""
+    """Lazy mapping ERP table name → narrowed DataFrame.
+
+    ``monthly_lines`` holds the invoice lines with their month where they were
+    landed by month, and None otherwise.
+    """
+
+    monthly_lines: DataFrame | None = None
 
     def __init__(self, loader: Callable[[str], DataFrame]):
         self._loader = loader
@@ -120,8 +127,42 @@ class ErpTables(Mapping):
         return len(ERP_SCHEMAS)
 
 
+#: Partition column of lines landed by month.
+LINE_MONTH = "invoice_month"
+
+
+def line_month(trx_date: Column) -> Column:
+    """The month under which the lines of an invoice are landed."""
+    return F.coalesce(F.date_format(trx_date, "yyyy-MM"), F.lit("none"))
+
+
+def land_lines_by_month(lines: DataFrame, headers: DataFrame, path: str) -> None:
+    """Land invoice lines under ``path``, return lines apart, by the month of their invoice (a landing helper).
+
+    Lines without an invoice, or of one without a date, go under ``none``.
+    """
+    month = line_month(F.col("trx_date")).alias(LINE_MONTH)
+    dated = lines.join(headers.select("customer_trx_id", month), "customer_trx_id", "left")
+    (dated.fillna("none", [LINE_MONTH]).withColumn("is_return", F.col("previous_customer_trx_line_id").isNotNull())
+     .hint("rebalance", "is_return", LINE_MONTH)
+     .write.partitionBy("is_return", LINE_MONTH).parquet(path))
+
+
+def with_monthly_lines(erp: ErpTables, path: str) -> ErpTables:
+    """``erp`` with the invoice lines that :func:`land_lines_by_month` wrote under ``path``."""
+    spark = erp["ra_customer_trx_all"].sparkSession
+    schema = f"{ddl('ra_customer_trx_lines_all')}, is_return boolean, {LINE_MONTH} string"
+    monthly = spark.read.schema(schema).parquet(path)
+    out = ErpTables(lambda name: monthly if name == "ra_customer_trx_lines_all" else erp[name])
+    out.monthly_lines = monthly
+    return out
+
+
 def parquet_tables(spark: SparkSession, root: str) -> ErpTables:
-    """ERP tables landed as parquet under ``root/<table>`` (directory or ``.parquet``)."""
+    """ERP tables landed as parquet under ``root/<table>`` (directory or ``.parquet``).
+
+    Lines landed by month are recognised by their partition column.
+    """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
 
     def load(name: str) -> DataFrame:
@@ -131,7 +172,11 @@ def parquet_tables(spark: SparkSession, root: str) -> ErpTables:
             path += ".parquet"
         return spark.read.parquet(path)
 
-    return ErpTables(load)
+    tables = ErpTables(load)
+    lines = load("ra_customer_trx_lines_all")
+    if LINE_MONTH in lines.columns:
+        return with_monthly_lines(tables, f"{root.rstrip('/')}/ra_customer_trx_lines_all")
+    return tables
 
 
 def catalog_tables(spark: SparkSession, database: str) -> ErpTables:

@@ -75,8 +75,11 @@ def test_hot_key_is_split_and_result_unchanged(spark):
 
 @needs_data
 def test_window_filter_is_pushed_to_header_scan(spark):
+    from salesmart import rules as R
+    from salesmart.plans import window_invoices
+
     erp = driver_erp(spark, SF)
-    plan = mart_rows(erp, DRIVER_AS_OF)._jdf.queryExecution().executedPlan().toString()
+    plan = window_invoices(erp, DRIVER_AS_OF, R.DEFAULT_RULES)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate,2000-08-01T00:00)" in plan
     assert "LessThan(o_orderdate," in plan  # the plan text truncates the literal
 
@@ -151,12 +154,12 @@ def test_bucketed_landing_makes_line_join_shuffle_free(spark, tmp_path):
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="32k",
               spark__sql__adaptive__autoBroadcastJoinThreshold="32k"):
         headers = window_invoices(cat, DRIVER_AS_OF, R.DEFAULT_RULES)
-        joined = invoice_lines(cat, headers)
+        joined = invoice_lines(cat["ra_customer_trx_lines_all"], headers)
         plan = joined._jdf.queryExecution().executedPlan().toString()
         n = joined.count()
     assert "SortMergeJoin" in plan  # neither side was broadcast
     assert not re.search(r"Exchange hashpartitioning\(customer_trx_id", plan), plan
-    assert n == invoice_lines(erp, window_invoices(erp, DRIVER_AS_OF, R.DEFAULT_RULES)).count()
+    assert n == invoice_lines(erp["ra_customer_trx_lines_all"], window_invoices(erp, DRIVER_AS_OF, R.DEFAULT_RULES)).count()
 
 
 def test_cutoff_and_window_do_not_depend_on_time_zone(spark):  # literals are zone-free
