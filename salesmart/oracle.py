@@ -377,6 +377,13 @@ WHERE order_number IN (SELECT wanted_order FROM sale_headers)""", "sale_orders s
         "lines_by_month": over("""
 SELECT customer_trx_line_id, customer_trx_id, line_type, CAST(unit_selling_price AS DOUBLE) AS unit_selling_price FROM money""",
                                "money"),
+        "rejected_references": over("""
+SELECT customer_trx_id, trx_number, trx_date, ct_reference,
+       CASE WHEN TRY_CAST(ct_reference AS DECIMAL(38,10)) IS NULL
+              AND abs(TRY_CAST(ct_reference AS DOUBLE)) BETWEEN 1 AND 1e308 THEN 'too large'
+            WHEN TRY_CAST(ct_reference AS DECIMAL(38,10)) IS NULL THEN 'no number'
+            WHEN TRY_CAST(ct_reference AS DECIMAL(38,10)) % 1 <> 0 THEN 'no whole number' ELSE 'too large' END AS reason
+FROM sale_headers WHERE ct_reference IS NOT NULL AND wanted_order IS NULL""", "sale_headers"),
         "ingest_exact": over(f"""
 SELECT kind, CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS line_id, CAST(qty AS DOUBLE) AS qty, CAST(price AS DOUBLE) AS price,
        CAST(CAST(qty AS DECIMAL(12,4)) * (CAST(price AS DECIMAL(20,10)) * CAST(1 AS DECIMAL(15,6))) AS DOUBLE) AS amount

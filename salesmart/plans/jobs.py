@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import window_start
 from .contract import apply_contract, jdbc_column_types
-from .mart import rejected_references, sales_mart, window_invoices
+from .mart import rejected_rows, sales_mart
 from .refresh import History, PublishError, RefreshReport
+from .spine import window_spine
 
 log = logging.getLogger(__name__)
 
@@ -37,13 +38,17 @@ def refresh_sales_mart(spark: SparkSession, erp: Mapping[str, DataFrame], histor
     first instant of the extracted window, so delete and extract cover the
     same days (the source deletes from "now minus 12 months", an instant,
     which reloads the boundary day's early rows a second time). Order
-    references that are no numbers join nothing; they are counted in the report."""
-    fresh = sales_mart(erp, as_of, rules, spark)
+    references that are no numbers join nothing; they are counted in the report,
+    and the rows are published beside the mart (``History.read_rejected``)."""
+    spine = window_spine(erp, as_of, rules)
+    fresh = sales_mart(erp, as_of, rules, spark, spine)
     if cutoff is None:
         cutoff = window_start(as_of, rules.window_months)
-    report = History(spark, history_root, date_col="tgl_invoice").window_replace(
-        fresh, cutoff, protect=protect, create=create)
-    report.rejected_references = rejected_references(window_invoices(erp, as_of, rules)).first()[0]
+    try:
+        report = History(spark, history_root, date_col="tgl_invoice").window_replace(
+            fresh, cutoff, protect=protect, create=create, rejected=rejected_rows(spine.headers))
+    finally:
+        spine.discard()
     if report.rejected_references:
         log.warning("%d order references of the window are no order numbers", report.rejected_references)
     log.info("sales mart v%d: extracted %d, deleted %d, kept %d in rewritten months, total written %d",

@@ -170,10 +170,23 @@ def site_cities(erp: Mapping[str, DataFrame], how: str) -> DataFrame:
             .select("site_use_id", "city"))
 
 
+def rejected_rows(headers: DataFrame) -> DataFrame:
+    """The given invoices whose order reference stands for no order number, each with the reason.
+
+    A reference joins nothing where it is no number, no whole one, or too large for an order number.
+    """
+    number = F.col("ct_reference").try_cast("decimal(38,10)")
+    size = F.abs(F.col("ct_reference").try_cast("double"))  # of numbers beyond the decimal's digits
+    huge = number.isNull() & (size > 1) & (size < float("inf"))
+    reason = (F.when(huge, "too large").when(number.isNull(), "no number").when(number != F.floor(number), "no whole number")
+              .otherwise("too large"))
+    return (headers.filter(F.col("ct_reference").isNotNull() & order_reference("ct_reference").isNull())
+            .select("customer_trx_id", "trx_number", "trx_date", "ct_reference", reason.alias("reason")))
+
+
 def rejected_references(headers: DataFrame) -> DataFrame:
     """One row: how many order references of the given invoices are no order numbers."""
-    return headers.agg(F.count_if(F.col("ct_reference").isNotNull() & order_reference("ct_reference").isNull())
-                       .alias("rejected_references"))
+    return rejected_rows(headers).agg(F.count(F.lit(1)).alias("rejected_references"))
 
 
 def adjustments(erp: Mapping[str, DataFrame], rules: R.MartRules, invoices: DataFrame) -> DataFrame:

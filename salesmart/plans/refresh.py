@@ -21,7 +21,12 @@ during the write job and reconciled with a count of the written files (their
 footers), so a short or doubled write is never published. Every attempt
 writes into a folder of its own. Of two writers that start from the same
 version only one can publish: it creates a claim file for the next version,
-which fails where one exists.
+which fails where one exists. A claim without a pointer that is older than
+``claim_seconds`` belongs to a dead writer, and the next one takes it over.
+
+Earlier versions stay readable until they are vacuumed. Each pointer
+keeps the counts of its run, which together are the load log; rows that a load
+rejected are published with it.
 """
 
 from __future__ import annotations
@@ -29,10 +34,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +46,13 @@ from .. import rules as R
 
 NULL_MONTH = "none"
 
+#: Age from which a claim without a pointer counts as a dead writer's. Between the two lies one small write.
+CLAIM_SECONDS = 3600
+
+#: What a pointer says of its run.
+LOG_COLUMNS = ("version bigint, mode string, loaded_at string, rows_before bigint, rows_deleted bigint, rows_fresh bigint, "
+               "rows_written bigint, rejected_references bigint")
+
 
 class PublishError(RuntimeError):
     pass
@@ -105,15 +118,23 @@ def day_start(ts) -> dt.datetime:
 class History:
     """A published table made of immutable run directories and a version pointer."""
 
-    def __init__(self, spark: SparkSession, root: str, *, date_col: str | None = "tgl_invoice"):
+    def __init__(self, spark: SparkSession, root: str, *, date_col: str | None = "tgl_invoice",
+                 claim_seconds: float = CLAIM_SECONDS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.date_col = date_col
+        self.claim_seconds = claim_seconds
 
     # -- reading ------------------------------------------------------------
-    def _pointer(self) -> dict | None:
-        newest = self.versions(1)
-        return newest[0] if newest else None
+    def _pointer(self, version: int | None = None) -> dict | None:
+        """The pointer of a version (the newest where none is named)."""
+        if version is None:
+            newest = self.versions(1)
+            return newest[0] if newest else None
+        found = [p for p in self.versions() if p["version"] == version]
+        if not found:
+            raise PublishError(f"version {version} was never published under {self.root}, or is retired")
+        return found[0]
 
     def version(self) -> int:
         p = self._pointer()
@@ -123,9 +144,9 @@ class History:
         p = self._pointer()
         return list(p["paths"]) if p else []
 
-    def read(self) -> DataFrame:
-        """The current version (empty with the stored schema when it has no rows)."""
-        p = self._pointer()
+    def read(self, version: int | None = None) -> DataFrame:
+        """The current version, or an earlier one (empty with the stored schema when it has no rows)."""
+        p = self._pointer(version)
         if p is None:
             raise PublishError(f"nothing published under {self.root}")
         schema = T.StructType.fromJson(json.loads(p["schema"]))
@@ -133,6 +154,22 @@ class History:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*p["paths"])
 
+    def read_rejected(self, version: int | None = None) -> DataFrame:
+        """The rows that the load of a version rejected, with their reasons."""
+        p = self._pointer(version)
+        if p is None or not p.get("rejected"):
+            raise PublishError(f"no rejected rows were published with that version under {self.root}")
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(p["rejected_schema"]))).parquet(p["rejected"])
+
+    def load_log(self) -> DataFrame:
+        """One row for each published version: what was read, deleted and loaded, and the rows loaded so far."""
+        if not self._fs_exists(f"{self.root}/_versions"):
+            return self.spark.createDataFrame([], LOG_COLUMNS).withColumn("rows_loaded_so_far", F.lit(0).cast("long"))
+        runs = self.spark.read.schema(LOG_COLUMNS).option("recursiveFileLookup", "true").json(f"{self.root}/_versions")
+        # one row for each run: the order needs no partitions
+        so_far = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return runs.withColumn("rows_loaded_so_far", F.sum("rows_fresh").over(so_far))
+
     def versions(self, last: int | None = None) -> list[dict]:
         """Committed pointers, newest first (``last`` limits how many).
 
@@ -173,13 +210,16 @@ class History:
         """
         if keep_versions < 1:
             raise ValueError("keep at least the current version")
+        def folders(v: dict) -> list[str]:
+            return [*v["paths"], *([v["rejected"]] if v.get("rejected") else [])]
+
         newest = self.versions(keep_versions)
-        keep = {p for v in newest for p in v["paths"]}
+        keep = {p for v in newest for p in folders(v)}
         oldest_kept = min((v["version"] for v in newest), default=0)
         known: set[str] = set()
         retired: list[str] = []
         for v in self.versions():
-            known.update(v["paths"])
+            known.update(folders(v))
             if v["version"] < oldest_kept:
                 retired.append(f"{self.root}/_versions/v={v['version']:010d}")
         # data first, then the pointers of the retired versions (so the listing stays short)
@@ -191,29 +231,64 @@ class History:
         return stale
 
     # -- writing ------------------------------------------------------------
-    def _publish(self, version: int, paths: list[str], schema: T.StructType, report: RefreshReport) -> None:
+    def _publish(self, version: int, paths: list[str], schema: T.StructType, report: RefreshReport, **more) -> None:
         doc = {"version": version, "paths": paths, "schema": schema.json(),
-               "mode": report.mode, "rows_written": report.rows_written,
-               "rows_deleted": report.rows_deleted, "rows_fresh": report.rows_fresh}
-        self._claim(version)
+               "mode": report.mode, "loaded_at": dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds"),
+               "rows_before": report.rows_before, "rows_written": report.rows_written,
+               "rows_deleted": report.rows_deleted, "rows_fresh": report.rows_fresh,
+               "rejected_references": report.rejected_references, **more}
+        token = self._claim(version)
+        if self._claimed_by(version) != token:
+            raise PublishError(f"version {version} was taken over by another writer; nothing was published")
         # the folder is ours now; what else is in it is the uncommitted leftover of a crashed run
         (self.spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1)
          .write.mode("append").text(f"{self.root}/_versions/v={version:010d}"))
 
-    def _claim(self, version: int) -> None:
-        """Create the version's claim file; fails when another writer has it.
+    def _claim_file(self, version: int) -> str:
+        return f"{self.root}/_versions/v={version:010d}/_claim"
 
-        A writer that dies between claim and pointer (seconds) leaves a claim that
-        stops later ones until it is removed, rather than risk a lost update.
+    def _claimed_by(self, version: int) -> str:
+        where, fs = self._path(self._claim_file(version))
+        stream = fs.open(where)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _claim(self, version: int) -> str:
+        """Create the version's claim file with a token of this writer; fails when another writer has it.
+
+        A claim that is older than ``claim_seconds`` while its version is not published was
+        left by a dead writer: it is renamed, which only one of several others can do, and a new one is made.
         """
-        name = f"{self.root}/_versions/v={version:010d}/_claim"
-        where, fs = self._path(name)
+        token = uuid.uuid4().hex
+        where, fs = self._path(self._claim_file(version))
         try:
-            fs.create(where, False).close()
+            self._make_claim(version, token)
+            return token
         except Exception as e:
             if not fs.exists(where):
                 raise
-            raise PublishError(f"another writer has claimed version {version} ({name}); nothing was published") from e
+            taken = PublishError(f"another writer has claimed version {version} ({where}); nothing was published")
+            age = time.time() - fs.getFileStatus(where).getModificationTime() / 1000
+            if self.version() >= version or age < self.claim_seconds:
+                raise taken from e
+            aside, _ = self._path(f"{self.root}/_versions/v={version:010d}/_expired-{token}")
+            if not fs.rename(where, aside):
+                raise taken from e
+        try:
+            self._make_claim(version, token)
+        except Exception as e:
+            raise PublishError(f"another writer has claimed version {version}; nothing was published") from e
+        return token
+
+    def _make_claim(self, version: int, token: str) -> None:
+        where, fs = self._path(self._claim_file(version))
+        stream = fs.create(where, False)
+        try:
+            stream.write(bytearray(token, "ascii"))
+        finally:
+            stream.close()
 
     def _run_dir(self, version: int) -> str:
         """A folder that no other attempt writes to."""
@@ -244,7 +319,7 @@ class History:
 
     def window_replace(self, fresh: DataFrame, cutoff, *,
                        protect: tuple[str, int] | None = ("tahun_invoice", R.PROTECTED_YEAR),
-                       create: bool = True) -> RefreshReport:
+                       create: bool = True, rejected: DataFrame | None = None) -> RefreshReport:
         """Delete ``date >= cutoff`` (except protected rows) and load ``fresh``, atomically.
 
         With ``create=False`` an existing history is demanded: a job that
@@ -252,6 +327,7 @@ class History:
 
         ``cutoff`` is compared with the date column as given: pass the start
         of a day to make the delete match an extract that covers whole days.
+        ``rejected`` are rows that the load had to leave out; they are published with it.
         """
         if self.date_col is None:
             raise PublishError("window_replace needs a date column")
@@ -312,5 +388,11 @@ class History:
         paths = sorted(reuse) + new_paths
         report = RefreshReport(version, "window", rows_before=n_before, rows_deleted=n_deleted,
                                rows_fresh=n_fresh, rows_written=n_written, paths=paths)
-        self._publish(version, paths, fresh.schema, report)
+        more = {}
+        if rejected is not None:
+            path, count = f"{self.root}/rejected/run={version:010d}/{uuid.uuid4().hex}", Observation("rejected")
+            rejected.observe(count, F.count(F.lit(1)).alias("n")).write.parquet(path)
+            report.rejected_references = count.get["n"]
+            more = {"rejected": path, "rejected_schema": rejected.schema.json()}
+        self._publish(version, paths, fresh.schema, report, **more)
         return report

@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import rules as R
@@ -67,7 +67,10 @@ def lines_of_months(monthly: DataFrame, headers: DataFrame) -> DataFrame:
 
 def window_spine(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES) -> Spine:
     """The spine of one run, written under the shared folder."""
-    headers = stored(window_invoices(erp, as_of, rules), "window_headers")
+    ends = Observation("window_ends")
+    found = window_invoices(erp, as_of, rules)
+    headers = stored(found.observe(ends, F.min("customer_trx_id").alias("first"), F.max("customer_trx_id").alias("last")),
+                     "window_headers")
     previous = F.col("previous_customer_trx_line_id")
     monthly = getattr(erp, "monthly_lines", None)
     if monthly is not None:
@@ -77,8 +80,7 @@ def window_spine(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEF
                        "window_lines")
         returns = monthly.filter(F.col("is_return")).drop(LINE_MONTH, "is_return")
         return Spine(headers, lines, returns, (headers, lines))
-    first, last = headers.agg(F.min("customer_trx_id"), F.max("customer_trx_id")).first()
-    near = F.col("customer_trx_id").between(first, last) | previous.isNotNull()
+    near = F.col("customer_trx_id").between(ends.get.get("first"), ends.get.get("last")) | previous.isNotNull()
     inside = headers.select("customer_trx_id").withColumn("in_window", F.lit(True))
     both = stored(erp["ra_customer_trx_lines_all"].filter(near)
                   .join(inside, "customer_trx_id", "left")

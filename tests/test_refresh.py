@@ -242,3 +242,111 @@ def test_rows_without_a_date_are_not_rewritten(spark, tmp_path):  # SURVEY 7.4
     none = [p for p in r0.paths if p.endswith("month=none")]
     r1 = h.window_replace(fresh(spark), CUT)
     assert none and set(none) <= set(r1.paths)
+
+
+# --- earlier versions, failures, the load log, rejected rows (S12, S14, X21) ---
+
+def _days(spark, *days, year=2026):
+    rows = [(i, dt.datetime(year, 1, d), year) for i, d in enumerate(days)]
+    return spark.createDataFrame(rows, "id long, tgl_invoice timestamp_ntz, tahun_invoice int")
+
+
+def test_earlier_versions_stay_readable_until_retired(spark, tmp_path):
+    hist = History(spark, str(tmp_path / "h"))
+    for days in ((1, 2), (3,), (4, 5, 6)):
+        hist.window_replace(_days(spark, *days), dt.datetime(2026, 1, 1))
+    assert [hist.read(v).count() for v in (1, 2, 3)] == [2, 1, 3] and hist.read().count() == 3
+    for gone in (0, 4):
+        with pytest.raises(PublishError, match="never published"):
+            hist.read(gone)
+    hist.vacuum(2, dry_run=False)
+    assert hist.read(2).count() == 1
+    with pytest.raises(PublishError, match="retired"):
+        hist.read(1)
+
+
+@pytest.mark.parametrize("step", ["_written", "_claim", "_claimed_by", "_make_claim"])
+def test_a_failure_at_any_step_leaves_the_published_version(spark, tmp_path, monkeypatch, step):
+    hist = History(spark, str(tmp_path / "h"))
+    hist.window_replace(_days(spark, 1, 2), dt.datetime(2026, 1, 1))
+
+    def fail(*args):
+        raise OSError(f"lost at {step}")
+
+    with monkeypatch.context() as m:
+        m.setattr(History, step, fail)
+        with pytest.raises(OSError, match=step):
+            hist.window_replace(_days(spark, 3), dt.datetime(2026, 1, 1))
+    assert hist.version() == 1 and hist.read().count() == 2
+    # only a claim that was made stops the next writer, until it is old enough
+    if step == "_claimed_by":
+        with pytest.raises(PublishError, match="claimed"):
+            hist.window_replace(_days(spark, 3), dt.datetime(2026, 1, 1))
+    hist.claim_seconds = 0
+    hist.window_replace(_days(spark, 3), dt.datetime(2026, 1, 1))
+    assert hist.version() == 2 and hist.read().count() == 1
+
+
+def test_a_writer_whose_claim_was_taken_over_does_not_publish(spark, tmp_path, monkeypatch):
+    hist = History(spark, str(tmp_path / "h"), claim_seconds=0)
+    hist.window_replace(_days(spark, 1), dt.datetime(2026, 1, 1))
+    other = History(spark, hist.root, claim_seconds=0)
+    claim = History._claim
+
+    def slow(self, version):
+        token = claim(self, version)
+        if self is hist:  # meanwhile another writer holds its claim for dead
+            other.window_replace(_days(spark, 7, 8, 9), dt.datetime(2026, 1, 1))
+        return token
+
+    monkeypatch.setattr(History, "_claim", slow)
+    with pytest.raises(PublishError, match="taken over"):
+        hist.window_replace(_days(spark, 2), dt.datetime(2026, 1, 1))
+    assert hist.version() == 2 and hist.read().count() == 3
+
+
+def test_a_claim_of_a_published_version_is_never_taken_over(spark, tmp_path):
+    hist = History(spark, str(tmp_path / "h"), claim_seconds=0)
+    hist.window_replace(_days(spark, 1), dt.datetime(2026, 1, 1))
+    with pytest.raises(PublishError, match="claimed"):
+        hist._claim(1)
+
+
+def test_load_log(spark, tmp_path):
+    hist = History(spark, str(tmp_path / "h"))
+    assert hist.load_log().collect() == []
+    hist.window_replace(_days(spark, 1, 2, 3), dt.datetime(2026, 1, 1))
+    hist.window_replace(_days(spark, 8, 9), dt.datetime(2026, 1, 2))
+    with pytest.raises(PublishError):
+        hist.full_replace(_days(spark, 1), expected_rows=2)  # not published, so not in the log
+    hist.full_replace(_days(spark, 1))
+    log = hist.load_log().orderBy("version").collect()
+    assert [(r.version, r["mode"], r.rows_before, r.rows_deleted, r.rows_fresh, r.rows_written, r.rows_loaded_so_far) for r in log] == [
+        (1, "window", 0, 0, 3, 3, 3), (2, "window", 3, 2, 2, 3, 5), (3, "full", 0, 0, 1, 1, 6)]
+    assert all(dt.datetime.fromisoformat(r.loaded_at).tzinfo for r in log)
+
+
+def test_rejected_rows_are_published_with_the_load(spark, tmp_path):
+    from salesmart.plans import refresh_sales_mart
+    from salesmart.sources import frames
+    from tests import erp_fixture as FX
+
+    tabs = FX.erp_frames(spark)
+    headers = tabs["ra_customer_trx_all"]
+    bad = {1: "SO/1", 2: "12.5", 3: "1E30", 5: None}
+    ref = F.col("ct_reference")
+    for id, text in bad.items():
+        ref = F.when(F.col("customer_trx_id") == id, F.lit(text)).otherwise(ref)
+    erp = frames({**tabs, "ra_customer_trx_all": headers.withColumn("ct_reference", ref)})
+    hist = History(spark, str(tmp_path / "h"))
+    report = refresh_sales_mart(spark, erp, hist.root, FX.AS_OF)
+    rows = {r.customer_trx_id: (r.ct_reference, r.reason) for r in hist.read_rejected().collect()}
+    assert report.rejected_references == len(rows) == hist.load_log().first().rejected_references
+    assert {i: rows[i] for i in (1, 2, 3)} == {1: ("SO/1", "no number"), 2: ("12.5", "no whole number"), 3: ("1E30", "too large")}
+    assert 5 not in rows  # no reference is nothing to reject
+    assert len(hist.vacuum(1)) == 0
+    refresh_sales_mart(spark, erp, hist.root, FX.AS_OF)
+    assert any("/rejected/" in p for p in hist.vacuum(1))
+    with pytest.raises(PublishError, match="no rejected rows"):
+        hist.full_replace(_days(spark, 1))
+        hist.read_rejected()
