@@ -377,6 +377,9 @@ WHERE order_number IN (SELECT wanted_order FROM sale_headers)""", "sale_orders s
         "lines_by_month": over("""
 SELECT customer_trx_line_id, customer_trx_id, line_type, CAST(unit_selling_price AS DOUBLE) AS unit_selling_price FROM money""",
                                "money"),
+        "batched_insert": over("""
+SELECT customer_trx_line_id, line_type, CAST(quantity_invoiced AS DOUBLE) AS quantity_invoiced,
+       CAST(unit_selling_price AS DOUBLE) AS unit_selling_price FROM ra_customer_trx_lines_all""", "", "ra_customer_trx_lines_all"),
         "rejected_references": over("""
 SELECT customer_trx_id, trx_number, trx_date, ct_reference,
        CASE WHEN TRY_CAST(ct_reference AS DECIMAL(38,10)) IS NULL
