@@ -158,25 +158,33 @@ def _decimals_sql(text: str) -> str:
             f"- coalesce(cast(nullif({power}, '') AS int), 0) END")
 
 
-def exact_cast_sql(value: str, have: T.DataType, want: str, name: str) -> str:
-    """SQL that casts ``value`` to ``want`` and raises where digits would be lost.
+def keeps_digits_sql(value: str, have: T.DataType, want: str, cast: str) -> str | None:
+    """SQL that is true where ``cast``, the value as ``want``, has all digits of ``value``; None where no cast can lose any.
 
     Decimals are compared with the result in their own type. So are floats and doubles:
     the result must be the number that the source has (0.1 is 0.1000, 0.123456 is not 0.1235).
-    Of text the decimals are counted. Other casts are plain; a value
-    that does not fit raises under ANSI mode.
+    Of text the decimals are counted.
     """
-    cast = f"CAST({value} AS {want})"
     scale = int(want.rstrip(")").split(",")[1]) if want.startswith("decimal(") else 0
     decimal = want.startswith("decimal")
     if not (decimal or want in ("bigint", "int", "smallint", "tinyint")):
-        return cast
+        return None
     if isinstance(have, T.DecimalType) and have.scale > scale or isinstance(have, (T.FloatType, T.DoubleType)):
         # compared in the source's type: a common type of both would round the source as well
-        kept = f"CAST({cast} AS {have.simpleString()}) = {value}"
-    elif isinstance(have, T.StringType) and decimal:
-        kept = f"coalesce({_decimals_sql(value)} <= {scale}, true)"
-    else:
+        return f"CAST({cast} AS {have.simpleString()}) = {value}"
+    if isinstance(have, T.StringType) and decimal:
+        return f"coalesce({_decimals_sql(value)} <= {scale}, true)"
+    return None
+
+
+def exact_cast_sql(value: str, have: T.DataType, want: str, name: str) -> str:
+    """SQL that casts ``value`` to ``want`` and raises where digits would be lost.
+
+    Casts that cannot lose digits are plain; a value that does not fit raises under ANSI mode.
+    """
+    cast = f"CAST({value} AS {want})"
+    kept = keeps_digits_sql(value, have, want, cast)
+    if kept is None:
         return cast
     return (f"CASE WHEN {value} IS NULL OR {kept} THEN {cast} "
             f"ELSE raise_error('{name}: a value has more decimals than {want} can hold') END")

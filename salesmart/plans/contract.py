@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import rules as R
-from ..functions import exact_cast
+from ..functions import exact_cast, keeps_digits_sql
 
 log = logging.getLogger(__name__)
 
@@ -133,6 +133,82 @@ def apply_contract(df: DataFrame, ddl: Iterable[tuple[str, str]]) -> DataFrame:
     return df.select(*cols)
 
 
+def contract_violations(df: DataFrame, ddl: Iterable[tuple[str, str]], key: str | None = None) -> DataFrame:
+    """Every breach of a typed target, counted in one pass instead of failing at the first value.
+
+    (column_name, rule, n_rows, sample_key, sample_value) for each column and
+    rule that is broken: ``missing`` (the column is not there; all rows),
+    ``type`` (no value of the type, or too large for it), ``digits`` (decimals that the
+    type cannot hold), ``length`` (longer than its ``VARCHAR(n)``). The
+    sample is the offending value of the row with the smallest ``key``, or the smallest value.
+    """
+    checks = []  # (column, rule, condition, value)
+    for name, sql_type in ddl:
+        if name not in df.columns:
+            checks.append((name, "missing", "true", "CAST(NULL AS STRING)"))
+            continue
+        have, want, value = df.schema[name].dataType, spark_type(sql_type), f"`{name}`"
+        cast, text = f"TRY_CAST({value} AS {want})", f"CAST({value} AS STRING)"
+        kept = keeps_digits_sql(value, have, want, cast)
+        n = varchar_length(sql_type)
+        if want != "string":
+            checks.append((name, "type", f"{value} IS NOT NULL AND {cast} IS NULL", text))
+        if kept is not None:
+            checks.append((name, "digits", f"{cast} IS NOT NULL AND NOT {kept}", text))
+        if n is not None:
+            checks.append((name, "length", f"length({text}) > {n}", text))
+    by = f"`{key}`" if key else "CAST(NULL AS STRING)"
+    sums = []
+    for i, (_, _, broken, text) in enumerate(checks):
+        sums.append(F.expr(f"count_if({broken})").alias(f"n{i}"))
+        sums.append(F.expr(f"min(CASE WHEN {broken} THEN struct({by} AS k, {text} AS v) END)").alias(f"s{i}"))
+    if not sums:
+        return df.sparkSession.createDataFrame([], VIOLATION_COLUMNS)
+    rows = [F.struct(F.lit(column).alias("column_name"), F.lit(rule).alias("rule"), F.col(f"n{i}").alias("n_rows"),
+                     F.col(f"s{i}.k").cast("string").alias("sample_key"), F.col(f"s{i}.v").alias("sample_value"))
+            for i, (column, rule, _, _) in enumerate(checks)]
+    return df.agg(*sums).select(F.inline(F.array(*rows))).filter("n_rows > 0")
+
+
+VIOLATION_COLUMNS = "column_name string, rule string, n_rows bigint, sample_key string, sample_value string"
+
+
+def check_contract(df: DataFrame, ddl: Iterable[tuple[str, str]], key: str | None = None) -> None:
+    """Fail with all breaches of a typed target at once."""
+    found = contract_violations(df, ddl, key).collect()  # at most a row for each column and rule
+    if found:
+        raise ContractError("; ".join(
+            f"{r.column_name}: {r.rule} in {r.n_rows} rows" + (f" (row {r.sample_key}: {r.sample_value!r})" if r.sample_key else
+                                                               f" ({r.sample_value!r})" if r.sample_value else "")
+            for r in found))
+
+
+def column_relation(df: DataFrame, ddl: Iterable[tuple[str, str]]) -> DataFrame:
+    """The columns of a frame against a typed target, as rows.
+
+    (position, column_name, expected_type, found_type, status, n_rows, n_null):
+    the expected columns in their order, then extra ones; status is ``ok``,
+    ``type differs``, ``missing`` or ``extra``. The nulls of all columns are counted in one pass.
+    """
+    expected = {name: spark_type(t) for name, t in ddl}
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = [*expected, *(c for c in found if c not in expected)]
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names) if c in found])
+
+    def text(value: str | None):
+        return F.lit(value).cast("string")
+
+    rows = []
+    for i, c in enumerate(names):
+        want, have = expected.get(c), found.get(c)
+        status = "missing" if have is None else "extra" if want is None else "ok" if want == have else "type differs"
+        rows.append(F.struct(
+            F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), text(want).alias("expected_type"),
+            text(have).alias("found_type"), F.lit(status).alias("status"), F.col("n").alias("n_rows"),
+            (F.col("n") - F.col(f"c{i}") if have is not None else F.lit(None).cast("long")).alias("n_null")))
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def create_table_ddl(table: str, ddl: Iterable[tuple[str, str]]) -> str:
     """``CREATE TABLE IF NOT EXISTS`` text for a typed target (Spark SQL)."""
     body = ", ".join(f"`{c}` {spark_type(t) if varchar_length(t) is None else t}" for c, t in ddl)

@@ -1,0 +1,46 @@
+"""Typed tables in a named schema (S13, S6, S7)."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.plans import default_schema, replace_table
+
+DDL = (("id", "BIGINT"), ("amount", "NUMERIC(12,2)"), ("name", "VARCHAR(5)"))
+
+
+@pytest.fixture
+def schema(spark, tmp_path):
+    name = f"s{uuid.uuid4().hex[:8]}"
+    with default_schema(spark, name, str(tmp_path / name)):
+        pass
+    yield name
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
+def test_default_schema_holds_inside_the_block_only(spark, schema):
+    before = spark.catalog.currentDatabase()
+    with default_schema(spark, schema):
+        replace_table(spark.range(3).select("id", F.lit(1.5).alias("amount"), F.lit("a").alias("name")), "t", DDL)
+        assert spark.table("t").count() == 3
+    assert spark.catalog.currentDatabase() == before
+    assert spark.table(f"{schema}.t").count() == 3
+    with pytest.raises(RuntimeError), default_schema(spark, schema):
+        raise RuntimeError
+    assert spark.catalog.currentDatabase() == before
+
+
+def test_a_qualified_name_needs_no_default_and_rows_are_replaced(spark, schema):
+    rows = spark.range(4).select("id", F.lit(None).cast("double").alias("amount"), F.lit("abc").alias("name"), F.lit(1).alias("more"))
+    replace_table(rows, "t", DDL, schema=schema)
+    replace_table(rows.limit(1), "t", DDL, schema=schema)
+    back = spark.table(f"{schema}.t")
+    assert back.dtypes == [("id", "bigint"), ("amount", "decimal(12,2)"), ("name", "varchar(5)")] or back.columns == ["id", "amount", "name"]
+    assert back.count() == 1
+
+
+def test_the_contract_holds_for_the_table(spark, schema):
+    too_long = spark.range(1).select("id", F.lit(0).alias("amount"), F.lit("abcdef").alias("name"))
+    with pytest.raises(Exception, match="too long"):
+        replace_table(too_long, "t", DDL, schema=schema)

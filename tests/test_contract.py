@@ -95,3 +95,55 @@ def test_create_table_in_schema(spark, tmp_path):  # S6, S13
     full = df.select(*[F.lit(None).alias(c) if c != "INVOICE_NUMBER" else F.col(c) for c in cols])
     with pytest.raises(Exception):
         full.write.insertInto("mb.customer_transactions")
+
+
+# --- all breaches at once, and the columns as rows (S4, S6, P5, P6) ---
+
+BROKEN = [
+    (1, 0.5, "1.25", "abc", "2026-01-01"), (2, 0.123456, "1.255", "abcdef", "soon"), (3, float("nan"), "x", None, None),
+    (4, None, None, "abcdefg", "2026-02-30"), (5, 1e12, "1E15", "", "2026-01-01"),
+]
+BROKEN_DDL = [("id", "BIGINT"), ("rate", "NUMERIC(12,4)"), ("price", "NUMERIC(10,2)"), ("name", "VARCHAR(5)"),
+              ("day", "DATE"), ("gone", "VARCHAR(3)")]
+
+
+def broken(spark):
+    return spark.createDataFrame(BROKEN, "id long, rate double, price string, name string, day string")
+
+
+def test_every_breach_is_counted_in_one_pass(spark):
+    from salesmart.plans import contract_violations
+
+    df = contract_violations(broken(spark), BROKEN_DDL, key="id")
+    assert df._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+    assert {(r.column_name, r.rule): (r.n_rows, r.sample_key, r.sample_value) for r in df.collect()} == {
+        ("rate", "type"): (2, "3", "NaN"), ("rate", "digits"): (1, "2", "0.123456"),
+        ("price", "type"): (2, "3", "x"), ("price", "digits"): (1, "2", "1.255"),
+        ("name", "length"): (2, "2", "abcdef"), ("day", "type"): (2, "2", "soon"), ("gone", "missing"): (5, "1", None)}
+    assert contract_violations(broken(spark).filter("id = 1"), BROKEN_DDL[:-1]).collect() == []
+    assert contract_violations(broken(spark), []).collect() == []
+    # where nothing is counted the load passes, and only there
+    from salesmart.plans import apply_contract
+    assert apply_contract(broken(spark).filter("id = 1"), BROKEN_DDL[:-1]).count() == 1
+
+
+def test_check_contract_names_all_breaches(spark):
+    from salesmart.plans import ContractError, check_contract
+
+    with pytest.raises(ContractError) as e:
+        check_contract(broken(spark), BROKEN_DDL, key="id")
+    for part in ("rate: digits in 1 rows (row 2: '0.123456')", "gone: missing in 5 rows", "name: length in 2 rows"):
+        assert part in str(e.value)
+    check_contract(broken(spark).filter("id = 1"), BROKEN_DDL[:-1])
+
+
+def test_columns_as_rows(spark):
+    from salesmart.plans import column_relation
+
+    got = [tuple(r) for r in column_relation(broken(spark).withColumnRenamed("price", "PRICE.x"), BROKEN_DDL).collect()]
+    assert got == [
+        (1, "id", "bigint", "bigint", "ok", 5, 0), (2, "rate", "decimal(12,4)", "double", "type differs", 5, 1),
+        (3, "price", "decimal(10,2)", None, "missing", 5, None), (4, "name", "string", "string", "ok", 5, 1),
+        (5, "day", "date", "string", "type differs", 5, 1), (6, "gone", "string", None, "missing", 5, None),
+        (7, "PRICE.x", None, "string", "extra", 5, 1)]
+    assert [r.n_rows for r in column_relation(broken(spark).limit(0), BROKEN_DDL[:1]).collect()] == [0] * 5
