@@ -49,23 +49,38 @@ RATE = 10.0
 SALT = 256
 
 
+@lru_cache(maxsize=2)
+def _library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], bytes]:
     """Text to ids (little-endian unsigned 32-bit) as the tokenizer file at ``path`` gives them.
 
     A byte-level vocabulary whose ids stand in merge order is encoded by
-    tiktoken, which gives the same ids several times faster; any other one by
-    the tokenizers library itself.
+    tiktoken, which gives the same ids several times faster; any other one, and
+    texts on which its pattern gives up, by the tokenizers library itself.
     """
     with open(path, encoding="utf-8") as f:
         content = json.load(f)
     ranks = _merge_ranks(content["model"])
+
+    def by_library(text: str) -> bytes:
+        return np.array(_library(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     if ranks is None or content["normalizer"] is not None or content["pre_tokenizer"] != BYTE_LEVEL:
-        tokenizer = Tokenizer.from_file(path)
-        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return by_library
     special = {t["content"]: t["id"] for t in content["added_tokens"]}
     coder = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: coder.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
+
+    def encode(text: str) -> bytes:
+        try:
+            return coder.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
+        except ValueError:  # the pattern gives up on white space of hundreds of thousands of characters
+            return by_library(text)
+
+    return encode
 
 
 #: The splitting pattern of byte-level BPE and how a file names it.

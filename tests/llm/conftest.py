@@ -23,6 +23,7 @@ EDGE_ROWS = [
     (13, "emoji 😀 text 😀", "es", "src12"),
     (14, "one", "es", "src12"),
     (15, "special <|endoftext|> inside <|startoftext|>", "en", "src12"),
+    (16, "very long white space" + " " * 1_200_000 + "and" + "\n" * 1_200_000, "en", "src12"),
 ]
 
 SCHEMA = "doc_id long, text string, lang string, source string"
