@@ -186,7 +186,7 @@ def fingerprint_links(prints: DataFrame, reach: int, column: str = "fp") -> Data
 
 
 def groups(prints: DataFrame, reach: int, id: str = "doc_id", column: str = "fp") -> DataFrame:
-    """(fp, component_id): for each fingerprint the smallest id that its links reach.
+    """(fp, component_id, root): for each fingerprint the smallest id that its links reach, and the group it is in.
 
     ``prints`` has one row a document and should be a stored table.
     """
@@ -194,22 +194,25 @@ def groups(prints: DataFrame, reach: int, id: str = "doc_id", column: str = "fp"
     roots = staged(components(fingerprint_links(distinct, reach, column)), "roots")
     linked = distinct.join(roots.withColumnRenamed("node", column), column)
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    moved = roots.join(smallest, "root").select(F.col("node").alias(column), "component_id")
+    moved = roots.join(smallest, "root").select(F.col("node").alias(column), "component_id", "root")
     return distinct.join(moved, column, "left").select(
-        column, F.coalesce("component_id", "first").alias("component_id")
+        column, F.coalesce("component_id", "first").alias("component_id"), F.coalesce("root", column).alias("root")
     )
 
 
-def simhash_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, reach: int = 2) -> DataFrame:
-    """One row for each row of ``docs``: the id, ``fp`` (long) and component_id."""
+def _found(docs: DataFrame, id: str, text: str, width: int, reach: int) -> DataFrame:
+    """(id, fp, component_id, root) of each row."""
     prints = staged(
         with_fingerprint(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "text", width, "fp").select("id", "fp"),
         "prints",
     )
     # both sides are stored, so Spark can split a hot fingerprint in this join
-    return prints.join(staged(groups(prints, reach, "id"), "groups"), "fp").select(
-        F.col("id").alias(id), "fp", "component_id"
-    )
+    return prints.join(staged(groups(prints, reach, "id"), "groups"), "fp").select("id", "fp", "component_id", "root")
+
+
+def simhash_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, reach: int = 2) -> DataFrame:
+    """One row for each row of ``docs``: the id, ``fp`` (long) and component_id."""
+    return _found(docs, id, text, width, reach).select(F.col("id").alias(id), "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -219,18 +222,26 @@ def hex_digits(fp: Column) -> Column:
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, reach: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each group the one with the smallest id.
 
-    A row repeated as a whole, with its id and text, stays once.
+    Where several rows have the same id, each is judged by its own text: it stays
+    with its group, or goes with it.  If the smallest id of a group stands in
+    several of its rows, one of them stays.
     """
-    found = staged(simhash_dedup(docs, id, text, width, reach).withColumnRenamed(id, "id"), "groups")
+    found = staged(_found(docs, id, text, width, reach), "groups")
     stays = F.col("id").eqNullSafe(F.col("component_id"))
-    gone = staged(found.where(~stays).select("id").distinct(), "gone")
-    twice = staged(found.where(stays).groupBy("id").count().where("count > 1").select("id"), "twice")
-    (key,) = fresh(docs, "id")
-    gone, twice = gone.withColumnRenamed("id", key), twice.withColumnRenamed("id", key)
-
-    def same(other: DataFrame) -> Column:
-        return docs[id].eqNullSafe(other[key])
-
-    kept = docs.join(gone, same(gone), "left_anti")
-    once = kept.join(twice, same(twice), "left_anti")
-    return once.unionByName(kept.join(twice, same(twice), "left_semi").dropDuplicates([id, text]))
+    key, fp = fresh(docs, "id", "fp")
+    twice = staged(found.groupBy("id").count().where("count > 1").select(F.col("id").alias(key)), "twice")
+    gone = staged(found.where(~stays).select(F.col("id").alias(key)).distinct(), "gone")
+
+    def same(rows: DataFrame, other: DataFrame) -> Column:
+        return rows[id].eqNullSafe(other[key])
+
+    # rows whose id is their own are told by it, so no text is read again for them
+    alone = docs.join(twice, same(docs, twice), "left_anti")
+    alone = alone.join(gone, same(alone, gone), "left_anti")
+    several = with_fingerprint(docs.join(twice, same(docs, twice), "left_semi"), text, width, fp)
+    first = staged(
+        found.where(stays).groupBy("id", "root").agg(F.min("fp").alias("fp")).select(F.col("id").alias(key), F.col("fp").alias("print")),
+        "first",
+    )
+    chosen = several.join(first, same(several, first) & (several[fp] == first["print"]), "left_semi").dropDuplicates([id, fp])
+    return alone.select(docs.columns).unionByName(chosen.select(docs.columns))

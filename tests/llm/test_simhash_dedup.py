@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from salesmart.llm import simhash_dedup as S
@@ -133,3 +134,36 @@ def test_registered_query(spark):
 
     out = op9_simhash_near_dedup(spark, SF)
     assert out.columns == ["doc_id", "fingerprint", "component_id"]
+
+
+def test_each_row_of_an_id_is_judged_by_its_own_text(spark):
+    a, b, c = ("alpha beta gamma delta " * 5, "one two three four five " * 5, "quite another text about nothing " * 4)
+    near_a = a + "."  # shares its fingerprint's neighbourhood with a, or not; the groups say
+    rows = [(2, a), (5, a), (5, b), (5, b), (7, b), (None, c), (None, c), (9, c), (None, a), (11, near_a), (11, "x y z " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("other"))
+    kept = S.drop_near_copies(docs)
+    assert kept.columns == ["doc_id", "text", "fp"]
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert [r for r in got if r[1] == a] == [(2, a)]  # 5 goes with its text a ...
+    assert [r for r in got if r[1] == b] == [(5, b)]  # ... and stays once with its text b
+    assert [r for r in got if r[1] == c] == [(9, c)]
+    assert (11, "x y z " * 9) in got
+
+
+def test_of_each_group_one_row_stays(spark):
+    """Ids repeat at random; of every group exactly one row is left, with the group's smallest id."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 12)) for _ in range(12)]
+    rows = [(int(rng.integers(0, 9)), texts[int(rng.integers(0, 12))]) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints = {t: S.fingerprint(t.encode(), 3) for t in texts}
+    group = {t: t for t in texts}
+    for t in texts:  # links of at most two bits, followed to the end
+        for u in texts:
+            if bin((prints[t] ^ prints[u]) & (2**64 - 1)).count("1") <= 2:
+                old, new = group[t], group[u]
+                group = {k: new if v == old else v for k, v in group.items()}
+    used = {t for _, t in rows}
+    want = {g: min(i for i, t in rows if group[t] == g) for g in {group[t] for t in used}}
+    got = [(group[r.text], r.doc_id) for r in S.drop_near_copies(docs).collect()]
+    assert sorted(got) == sorted(want.items())
