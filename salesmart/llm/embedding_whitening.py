@@ -25,8 +25,8 @@ most ``SLOTS`` partial sums; tasks hold one batch of vectors.  Nothing there
 grows with the rows.
 
 Defined cases: rows whose vector is null, empty, or holds null or non-finite
-entries, or ones of 2 ** 40 or more after scaling, are dropped; vectors of another length than the most frequent one (of equally frequent ones the
-longest) cannot be whitened with the others and are dropped; repeated rows and
+entries, or ones of 2 ** 40 or more after scaling, are dropped; vectors of
+another length than the most frequent one (of equally frequent ones the longest) cannot be whitened with the others and are dropped; repeated rows and
 equal vectors each get their result, and count once in the fit; components
 with less than 1e-13 of the variance are rounding and have none, so there may
 be fewer than asked for, and no rows at all where all vectors are equal; a
