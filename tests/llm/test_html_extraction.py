@@ -161,3 +161,93 @@ def test_other_columns_and_empty_tables(spark):
     rows = X.extract_pages(df, "page_id", "html", "url").collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in rows) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
     assert X.extract_pages(df.where("false"), "page_id", "html", "url").count() == 0
+
+
+SENTENCES = [f"Row {i} tells in one sentence of {'some ' * (i % 4)}thing number {i}." for i in range(20)]
+MENU = "<ul>" + "".join(f'<li><a href="/{i}">Menu entry {i}</a></li>' for i in range(8)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "inside,want",
+    [
+        ("<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in SENTENCES) + "</table>", SENTENCES),
+        ("<table>" + "".join(f"<tr><td>{x}" for x in SENTENCES) + "</table>", SENTENCES),
+        ("<table><tbody>" + "".join(f"<tr><th>{i}<td>{x}" for i, x in enumerate(SENTENCES)) + "</table>",
+         [y for i, x in enumerate(SENTENCES) for y in (str(i), x)]),
+        ("<dl>" + "".join(f"<dt>Term {i}</dt><dd>{x}</dd>" for i, x in enumerate(SENTENCES)) + "</dl>",
+         [y for i, x in enumerate(SENTENCES) for y in (f"Term {i}", x)]),
+        ("<dl>" + "".join(f"<dt>Term {i}<dd>{x}" for i, x in enumerate(SENTENCES)) + "</dl>",
+         [y for i, x in enumerate(SENTENCES) for y in (f"Term {i}", x)]),
+        (f'<h1>Title</h1><p>{BODY}</p><p><a href="/x">A paragraph that is one link</a>.</p><p>{BODY}</p>',
+         ["Title", ONE, "A paragraph that is one link.", ONE]),
+        (f'<h1>Title</h1><p>{BODY}</p><p><a href="/x">A paragraph that is one link</a></p>', ["Title", ONE, "A paragraph that is one link"]),
+        (f"<section><h1>Title</h1><p>{BODY * 4}</p></section><section><p>Short one.</p><p>Short two.</p></section>",
+         ["Title", " ".join([ONE] * 4), "Short one.", "Short two."]),
+        (f"<div><p>{BODY * 4}</p></div><div><p>Short one.</p><p>Short two.</p></div>", [" ".join([ONE] * 4), "Short one.", "Short two."]),
+        (f"<h1>Title</h1><ul><li>{BODY}<li>{BODY}</ul><p>End.</p>", ["Title", ONE, ONE, "End."]),
+    ],
+)
+@pytest.mark.parametrize("menu", [False, True])
+def test_without_landmarks_all_blocks_of_the_region_come(inside, want, menu):
+    around = f"<div>{MENU}</div>" if menu else ""
+    assert text(f"<html><body>{around}<div>{inside}</div>{around}</body></html>") == "\n".join(want)
+
+
+def test_cells_of_a_layout_table():
+    html = f"<table><tr><td>{MENU}<td><h1>Title</h1><p>{BODY}</p><p>Short.</p></table>"
+    assert text(html) == f"Title\n{ONE}\nShort."
+
+
+@pytest.mark.parametrize("unit", ["<tr><td>word", "<div>word", "<ul><li>word", "<div class='ad x'>word", "<div><b>word</b>", "<article>word", "<dl><dt>a<dd>word"])
+def test_open_elements_cost_no_square(unit):
+    import time
+
+    start = time.process_time()
+    got = X.main_blocks("<table>" * unit.startswith("<tr") + unit * 16_000)
+    assert got and time.process_time() - start < 5
+
+
+def _by_paths(html):
+    """The same decision about names, read off whole paths of open elements (slow)."""
+    reader = X.LineReader()
+    reader.feed(html)
+    lines = reader.finish()
+    if not lines:
+        return []
+
+    def path(k):
+        return [k] + path(reader.parents[k]) if k else []
+
+    named = {k: x for k, x in reader.named.items() if k not in reader.holding}
+    marked = X._marked(lines)
+    keys = [[named[k] for k in path(x.holder) if k in named] for x in lines]
+    spoken = {i for i, x in enumerate(keys) if any(c for _, c in x)}
+    gone = spoken if any(m and i not in spoken for i, m in enumerate(marked)) else set()
+    rest = [i for i in range(len(lines)) if i not in gone]
+    weight, total = {}, sum(len(lines[i].text) for i in rest if marked[i])
+    for i in rest:
+        for key in {key for key, _ in keys[i]}:
+            weight[key] = weight.get(key, 0) + len(lines[i].text) * bool(marked[i])
+    minor = {key for key, w in weight.items() if w < X.NAMED_SHARE * total}
+    while True:
+        left = [i for i in rest if not minor & {key for key, _ in keys[i]}]
+        if not minor or sum(len(lines[i].text) for i in left if marked[i]) > (1 - X.REGION_SHARE) * total:
+            return [lines[i].text for i in left]
+        minor.remove(max(minor, key=lambda key: (weight[key], key)))
+
+
+def test_names_against_whole_paths():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        html = []
+        for _ in range(int(rng.integers(3, 40))):
+            tag = str(rng.choice(["div", "section", "article", "form", "p", "li", "ul"]))
+            name = str(rng.choice(["", "", "ad", "comment", "sidebar box", "social", "post", "no-sidebar"]))
+            html.append(f'<{tag} class="{name}">' if name else f"<{tag}>")
+            html.append("word " * int(rng.integers(1, 60)))
+            if rng.random() < 0.6:
+                html.append(f"</{rng.choice(['div', 'section', 'article', 'form', 'li', 'ul'])}>")
+        html = "".join(html)
+        reader = X.LineReader()
+        reader.feed(html)
+        assert [x.text for x in X._unnamed(reader.finish(), reader)] == _by_paths(html)
