@@ -1,24 +1,26 @@
 """Toxicity by weak supervision.
 
-1. Lexicon: word beginnings (4 to 7 letters) and whole words that stand in at
-   least 1 % of the toxic training documents are counted in all training
-   documents; the most telling ones, each bringing something new, become the
-   lexicon.
-2. Voters: each entry votes when it occurs once, and again when it occurs
-   repeatedly; further voters look at the density of entries, at patterns
-   (shouting, exclamation marks, insults aimed at a reader, masked words), and
-   one votes against when nothing was found.
+1. Lexicon: word beginnings (4 to 7 letters) and whole words are counted in all
+   training documents of both classes.  A feature becomes an entry when toxic
+   documents hold it (once, or repeatedly) at ``LIFT`` times the rate of clean
+   ones and the G statistic is beyond chance for that many features, at level
+   ``LEVEL``; of features that lengthen or shorten each other the most telling
+   one stays.  The number of entries follows the evidence.
+2. Voters: each entry votes when it occurs, and again when it occurs
+   repeatedly; further voters look at the number and density of entries and at
+   patterns (shouting, exclamation marks, insults aimed at a reader, masked words).
 3. Label model: a generative model of the votes given the unseen label, fitted
    by expectation-maximisation over all training rows and all rows without a
-   label outside the held-out fold.  Known labels are kept fixed.  It gives
-   each voter's accuracies and, from the second moments, the correlations of
-   voters within a class; a voter's say is divided by how much others repeat it.
-4. A logistic regression on the voters' counts learns the posterior labels of
-   a sample of about ``FIT_ROWS`` rows at most, taken by the hash of the id (the
-   labels where known), and scores every row.
+   label outside the held-out fold.  Known labels are kept fixed.  Each round
+   gives each voter's accuracies and the sum of its correlations with all other
+   voters within a class; its say in the next round is divided by that, so
+   voters that repeat each other don't count as so many.
+4. A logistic regression on the voters' counts learns the label model's
+   posteriors for a sample of about ``FIT_ROWS`` rows at most, taken by the hash
+   of the id, and scores every row.
 
-The learned parts are small: a lexicon of ``ENTRIES``, a few numbers for each
-pair of voters, one weight a feature.  Texts are read three times, in parallel.
+What is learned grows with the telling words, not with the documents: a few
+numbers an entry.  Texts are read three times, in parallel.
 
 Defined cases: null and empty texts have no hits and get the score of such a
 document; rows without a label are scored only; without both classes in the
@@ -39,20 +41,23 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, marked, marks, ship, staged
+from .common import forget, held_out, marked, marks, ship, staged
 
-ENTRIES = 64
-#: Share of the toxic training documents that an entry must stand in.
-LEAST_SHARE = 0.01
+#: How often chance may make any feature at all an entry.
+LEVEL = 0.05
+#: How many times the rate of clean documents an entry has in toxic ones.
+LIFT = 2.0
 #: Rows that the classifier is fitted on, at most and about.
-FIT_ROWS = 20_000
+FIT_ROWS = 100_000
 ROUNDS = 6
 #: Rows that a task of the label model adds up; the number of tasks follows the input.
 ROWS_A_TASK = 50_000
 STEMS = (4, 5, 6, 7)
 RIDGE = 1.0
-#: Words whose entries a Python worker remembers.
-KEEP = 200_000
+#: Words whose features a Python worker remembers, and features that it counts at once; longer words are not remembered.
+KEEP, LONG = 200_000, 64
+#: Bits of the bitmap of labelled ids, for each of them and at most.
+BITS_A_LABEL, MOST_BITS = 16, 1 << 30
 
 #: Patterns of shouting, of aimed insults and of masked words.
 PATTERNS = (
@@ -75,37 +80,66 @@ def _words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def frequent_stems(toxic: DataFrame, total: int) -> list[str]:
-    """Features in at least LEAST_SHARE of the toxic documents: no more than their mean number over that share."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
+def _found(words: list[str], known: dict, of) -> Counter:
+    """Occurrences of the features ``of`` a word gives; ``known`` remembers them by word."""
+    seen: Counter = Counter()
+    for word, n in Counter(words).items():
+        at = known.get(word)
+        if at is None:
+            at = of(word)
+            if len(word) <= LONG:
+                if len(known) >= KEEP:
+                    known.clear()
+                known[word] = at
+        for i in at:
+            seen[i] += n
+    return seen
 
-    def of(w: Column) -> Column:
-        return F.array(*[F.when(F.length(w) >= k, F.substring(w, 1, k)) for k in STEMS], F.concat(w, F.lit("$")))
 
-    found = (
-        toxic.select(F.explode(F.array_distinct(F.flatten(F.transform(words, of)))).alias("stem"))
-        .where("stem is not null")
-        .groupBy("stem")
-        .count()
-        .where(F.col("count") >= max(2, LEAST_SHARE * total))
-    )
-    return sorted(r.stem for r in found.select("stem").collect())
+def stem_counts(train: DataFrame) -> DataFrame:
+    """(stem, c1, c2, t1, t2): clean and toxic documents of ``train`` (text, y) that hold a feature, and hold it twice."""
 
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict = {}
+        held: dict[str, list[int]] = {}
 
-def _log_ratio(tox: np.ndarray, clean: np.ndarray, n_tox: int, n_clean: int) -> np.ndarray:
-    """The G statistic of each feature against the label; negative where it speaks for clean."""
+        def flush() -> pd.DataFrame:
+            table = np.array(list(held.values()), np.int64).reshape(-1, 4)
+            return pd.DataFrame({"stem": list(held), "c1": table[:, 0], "c2": table[:, 1], "t1": table[:, 2], "t2": table[:, 3]})
 
-    def part(a, of):
-        return np.where(a > 0, a * np.log(np.maximum(a, 1e-12) / np.maximum(of, 1e-12)), 0.0)
+        for batch in batches:
+            for text, y in zip(batch["text"], batch["y"]):
+                at = 2 if y else 0
+                for stem, n in _found(_words(text), known, stems).items():
+                    row = held.get(stem)
+                    if row is None:
+                        row = held[stem] = [0, 0, 0, 0]
+                    row[at] += 1
+                    if n > 1:
+                        row[at + 1] += 1
+                if len(held) >= KEEP:
+                    yield flush()
+                    held.clear()
+        yield flush()
+
+    parts = train.select("text", F.col("y").cast("int").alias("y")).mapInPandas(count, "stem string, c1 long, c2 long, t1 long, t2 long")
+    return parts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("c1", "c2", "t1", "t2")])
+
+
+def evidence(tox: Column, clean: Column, n_tox: int, n_clean: int) -> Column:
+    """The G statistic of a feature against the label; 0 where toxic documents don't hold it at LIFT times the rate."""
+    n, have = n_tox + n_clean, (tox + clean).cast("double")
+
+    def part(a: Column, of: Column) -> Column:
+        return F.when(a > 0, a * F.log(a / of)).otherwise(0.0)
 
-    n, have = n_tox + n_clean, tox + clean
     g = (
-        part(tox, n_tox * have / n)
-        + part(clean, n_clean * have / n)
-        + part(n_tox - tox, n_tox * (n - have) / n)
-        + part(n_clean - clean, n_clean * (n - have) / n)
+        part(tox, have * (n_tox / n))
+        + part(clean, have * (n_clean / n))
+        + part(n_tox - tox, (n - have) * (n_tox / n))
+        + part(n_clean - clean, (n - have) * (n_clean / n))
     )
-    return np.where(tox / n_tox > clean / n_clean, g, -g)
+    return F.when(tox / n_tox >= LIFT * clean / n_clean, 2 * g).otherwise(0.0)
 
 
 def learn_lexicon(train: DataFrame) -> tuple[list[str], int, int]:
@@ -114,99 +148,110 @@ def learn_lexicon(train: DataFrame) -> tuple[list[str], int, int]:
     n_tox, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_tox or not n_clean:
         return [], n_tox, n_clean
-    candidates = frequent_stems(train.where("y = 1").select("text"), n_tox)
-    if not candidates:
-        return [], n_tox, n_clean
-    place = {s: i for i, s in enumerate(candidates)}
-    shared = train.sparkSession.sparkContext.broadcast(place)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, known = shared.value, {}
-        out = np.zeros((2, 2, len(place)), np.int64)  # by label: documents with it, with it twice
-        for batch in batches:
-            for text, y in zip(batch["text"], batch["y"]):
-                seen: Counter = Counter()
-                for word, n in Counter(_words(text)).items():
-                    at = known.get(word)
-                    if at is None:
-                        if len(known) >= KEEP:
-                            known.clear()
-                        at = known[word] = tuple([place[s] for s in stems(word) if s in place])
-                    for i in at:
-                        seen[i] += n
-                if seen:
-                    at = np.fromiter(seen, np.int64, len(seen))
-                    out[y, 0, at] += 1
-                    out[y, 1, at] += np.fromiter(seen.values(), np.int64, len(seen)) > 1
-        i = np.arange(len(place))
-        yield pd.DataFrame({"i": i, "c1": out[0, 0], "c2": out[0, 1], "t1": out[1, 0], "t2": out[1, 1]})
-
-    parts = train.select("text", F.col("y").cast("int").alias("y")).mapInPandas(count, "i long, c1 long, c2 long, t1 long, t2 long")
-    table = parts.groupBy("i").agg(*[F.sum(c).alias(c) for c in ("c1", "c2", "t1", "t2")]).toArrow().to_pandas().set_index("i").sort_index()
-    once = _log_ratio(table["t1"].to_numpy(float), table["c1"].to_numpy(float), n_tox, n_clean)
-    again = _log_ratio(table["t2"].to_numpy(float), table["c2"].to_numpy(float), n_tox, n_clean)
-    g = np.maximum(once, again)
+    counts = staged(stem_counts(train), "stems")
+    # chance gives a statistic beyond g with about exp(-g / 2)
+    beyond = 2 * np.log(max(1, counts.count()) / LEVEL)
+    g = F.greatest(*[evidence(F.col(t), F.col(c), n_tox, n_clean) for t, c in (("t1", "c1"), ("t2", "c2"))])
+    telling = counts.select("stem", g.alias("g")).where(F.col("g") >= float(beyond)).toArrow().to_pylist()
     chosen: list[str] = []
+    whole, begun = set(), set()
     # an entry that only lengthens or shortens a chosen one says nothing new
-    for i in np.argsort(-g, kind="stable"):
-        if g[i] < 4 or len(chosen) == ENTRIES:
-            break
-        stem = candidates[table.index[i]]
-        bare = stem.rstrip("$")
-        if not any(bare.startswith(c.rstrip("$")) or c.rstrip("$").startswith(bare) for c in chosen):
-            chosen.append(stem)
+    for r in sorted(telling, key=lambda r: (-r["g"], r["stem"])):
+        bare = r["stem"].rstrip("$")
+        begins = [bare[:k] for k in range(1, len(bare) + 1)]
+        if bare not in begun and whole.isdisjoint(begins):
+            chosen.append(r["stem"])
+            whole.add(bare)
+            begun.update(begins)
+    forget(counts)
     return chosen, n_tox, n_clean
 
 
+HITS = "at array<int>, n array<int>, shape array<float>"
+
+
 def read_features(docs: DataFrame, lexicon: list[str]) -> DataFrame:
-    """``docs`` (id, text, and what else it has) with ``hits``: counts of the entries, of the patterns, and words."""
+    """``docs`` (id, text, and what else it has) with ``hits``: the entries, how often each, and counts of patterns and words."""
     shared = docs.sparkSession.sparkContext.broadcast({s: i for i, s in enumerate(lexicon)})
-    m, width = len(lexicon), len(lexicon) + len(PATTERNS) + 1
 
-    @F.pandas_udf("array<float>")
-    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(HITS)
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         place, known = shared.value, {}
+
+        def entries(word: str) -> tuple[int, ...]:
+            return tuple([place[s] for s in stems(word) if s in place])
+
         for batch in batches:
-            out = np.zeros((len(batch), width), np.float32)
-            for row, text in zip(out, batch):
+            out = []
+            for text in batch:
                 words = _words(text)
-                for word, n in Counter(words).items():
-                    at = known.get(word)
-                    if at is None:
-                        if len(known) >= KEEP:
-                            known.clear()
-                        at = known[word] = tuple([place[s] for s in stems(word) if s in place])
-                    for i in at:
-                        row[i] += n
-                for k, p in enumerate(_PATTERNS):
-                    row[m + k] = sum(1 for _ in p.finditer(text)) if text else 0
-                row[-1] = len(words)
-            yield pd.Series(list(out))
+                seen = sorted(_found(words, known, entries).items())
+                shape = [sum(1 for _ in p.finditer(text)) if text else 0 for p in _PATTERNS]
+                out.append(([i for i, _ in seen], [n for _, n in seen], [float(x) for x in (*shape, len(words))]))
+            yield pd.DataFrame(out, columns=["at", "n", "shape"], dtype=object)
 
     return docs.withColumn("hits", hits(F.col("text"))).drop("text")
 
 
-def voters(hits: np.ndarray) -> np.ndarray:
-    """(row, voter): which voters speak."""
-    m = hits.shape[1] - len(PATTERNS) - 1
-    entries, patterns, words = hits[:, :m], hits[:, m:-1], np.maximum(hits[:, -1:], 1)
-    total = entries.sum(axis=1, keepdims=True)
-    density = 100 * total / words
-    return np.hstack(
-        (entries >= 1, entries >= 2, entries >= 4, density >= 0.5, density >= 1, density >= 2, total >= 2, total >= 5,
-         patterns >= 1, 100 * patterns / words >= 2, total == 0)
-    )
+@dataclass
+class Hits:
+    """The hits of some documents: entry ``at`` stands ``n`` times in document ``row``; ``shape`` is (document, count)."""
+
+    entries: int
+    row: np.ndarray
+    at: np.ndarray
+    n: np.ndarray
+    shape: np.ndarray
+
+    @classmethod
+    def of(cls, at: pd.Series, n: pd.Series, shape: pd.Series, entries: int) -> Hits:
+        def flat(x):
+            return np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)
+
+        return cls(
+            entries, np.repeat(np.arange(len(at)), [len(x) for x in at]), flat(at), flat(n),
+            np.stack(shape.to_numpy()).astype(np.float64) if len(shape) else np.zeros((0, len(PATTERNS) + 1)),
+        )
+
+    @property
+    def total(self) -> np.ndarray:
+        return np.bincount(self.row, self.n, len(self.shape))
 
 
-def features(hits: np.ndarray) -> np.ndarray:
-    """(row, feature) of the classifier; the last one is constant."""
-    m = hits.shape[1] - len(PATTERNS) - 1
-    entries, patterns, words = hits[:, :m], hits[:, m:-1], np.maximum(hits[:, -1:], 1)
-    total = entries.sum(axis=1, keepdims=True)
-    return np.hstack(
-        (np.log1p(entries), entries >= 2, np.log1p(100 * entries / words), np.log1p(total), np.log1p(100 * total / words),
-         np.log1p(patterns), np.log1p(100 * patterns / words), np.log(words) / 5, np.ones_like(words))
-    ).astype(np.float64)
+def voters(hits: Hits) -> tuple[np.ndarray, np.ndarray]:
+    """(row, voter) of all votes: those of the entries, once for each of three counts, then those on the whole."""
+    patterns, words = hits.shape[:, :-1], np.maximum(hits.shape[:, -1:], 1)
+    total = hits.total[:, None]
+    density = 100 * total / words
+    whole = np.hstack(
+        (density >= 0.5, density >= 1, density >= 2, total >= 1, total >= 2, total >= 5, patterns >= 1, 100 * patterns / words >= 2)
+    )
+    rows, at = [], []
+    for k, least in enumerate((1, 2, 4)):
+        some = hits.n >= least
+        rows.append(hits.row[some])
+        at.append(hits.at[some] + k * hits.entries)
+    spoken, which = np.nonzero(whole)
+    return np.concatenate((*rows, spoken)), np.concatenate((*at, which + 3 * hits.entries))
+
+
+#: Voters on the whole document.
+WHOLE = 6 + 2 * len(PATTERNS)
+
+
+def features(hits: Hits) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, feature, value) of the classifier, and the number of features; the last one is constant."""
+    patterns, words = hits.shape[:, :-1], np.maximum(hits.shape[:, -1:], 1)
+    total, m = hits.total[:, None], hits.entries
+    whole = np.hstack(
+        (np.log1p(total), np.log1p(100 * total / words), np.log1p(patterns), np.log1p(100 * patterns / words), np.log(words) / 5,
+         np.ones_like(words))
+    )
+    size = 3 * m + whole.shape[1]
+    of = (np.log1p(hits.n), (hits.n >= 2).astype(float), np.log1p(100 * hits.n / words[hits.row, 0]))
+    row = np.concatenate((np.tile(hits.row, 3), np.repeat(np.arange(len(whole)), whole.shape[1])))
+    at = np.concatenate([hits.at + k * m for k in range(3)] + [np.tile(np.arange(3 * m, size), len(whole))])
+    return row, at, np.concatenate((*of, whole.ravel())), size
 
 
 @dataclass
@@ -217,89 +262,114 @@ class LabelModel:
     prior: float
     say: np.ndarray
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """The chance of class 1 of each row."""
-        p = np.clip(self.speaks, 1e-6, 1 - 1e-6)
+    def posterior(self, row: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
+        """The chance of class 1 of each row, given its votes."""
+        p = np.clip(self.speaks, 1e-9, 1 - 1e-9)
         spoken, silent = np.log(p[1] / p[0]), np.log((1 - p[1]) / (1 - p[0]))
-        odds = np.log(self.prior / (1 - self.prior)) + votes @ (self.say * (spoken - silent)) + (self.say * silent).sum()
+        odds = np.log(self.prior / (1 - self.prior)) + np.bincount(row, (self.say * (spoken - silent))[at], rows) + self.say @ silent
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def _moments(rows: DataFrame, model: LabelModel | None, pairs: bool) -> list[np.ndarray]:
-    """Sums over all rows: for each class its weight, its votes and, if wanted, its pairs of votes."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def _sums(rows: DataFrame, model: LabelModel | None, scales: np.ndarray | None, entries: int) -> np.ndarray:
+    """Sums over all rows, by class: the weight and each voter's votes; with ``scales`` its votes times all votes scaled."""
+    shared = rows.sparkSession.sparkContext.broadcast((model, scales))
+    m = 3 * entries + WHOLE
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = None
+        (model, scales), out = shared.value, np.zeros((2, m + 1))
         for batch in batches:
-            votes = voters(np.stack(batch["hits"].to_numpy())).astype(np.float64)
+            size = len(batch)
+            row, at = voters(Hits.of(batch["at"], batch["n"], batch["shape"], entries))
             y = batch["y"].to_numpy(np.float64, na_value=np.nan)
-            if shared.value is not None:
-                y = np.where(np.isnan(y), shared.value.posterior(votes), y)
-            else:
-                votes, y = votes[~np.isnan(y)], y[~np.isnan(y)]
-            parts = []
-            for w in (1 - y, y):
-                parts += [[w.sum()], w @ votes] + ([((votes * w[:, None]).T @ votes).ravel()] if pairs else [])
-            parts = np.concatenate(parts)
-            out = parts if out is None else out + parts
-        if out is not None:
-            yield pd.DataFrame({"i": np.arange(len(out)), "v": out})
-
-    sums = rows.mapInPandas(add, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").toArrow().to_pandas()["v"].to_numpy()
-    return np.split(sums, 2) if len(sums) else []
-
-
-def fit_label_model(rows: DataFrame) -> LabelModel | None:
-    """Expectation-maximisation over ``rows`` (hits, y); None if one class is missing."""
-    # a task sends sums for all pairs of voters, so it should read many rows
+            known = ~np.isnan(y)
+            y = np.where(known, y, 0 if model is None else model.posterior(row, at, size))
+            for c, w in enumerate((1 - y, y)):
+                w = w * known if model is None else w
+                out[c, 0] += w.sum()
+                if scales is not None:
+                    w = w * np.bincount(row, scales[c][at], size)
+                out[c, 1:] += np.bincount(at, w[row], m)
+        i = np.flatnonzero(out)
+        yield pd.DataFrame({"i": i, "v": out.ravel()[i]})
+
+    sums = rows.select("hits.*", "y").mapInPandas(add, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(2 * (m + 1))
+    out[sums["i"].to_numpy()] = sums["v"].to_numpy()
+    shared.destroy()
+    return out.reshape(2, -1)
+
+
+def fit_label_model(rows: DataFrame, entries: int) -> LabelModel | None:
+    """Expectation-maximisation over ``rows`` (hits, y); None if one class is missing.
+
+    A round reads the rows twice: for the voters' chances, then for each one's
+    covariance with the sum of all standardised votes, which is the sum of its
+    correlations; so no pair of voters is ever stored.
+    """
+    # a task sends a few sums for each voter, so it should read many rows
     rows = rows.coalesce(max(1, -(-rows.count() // ROWS_A_TASK)))
     model = None
-    for turn in range(ROUNDS + 1):
-        last = turn == ROUNDS
-        both = _moments(rows, model, last)
-        if not both or not both[0][0] or not both[1][0]:
+    for _ in range(ROUNDS + 1):
+        both = _sums(rows, model, None, entries)
+        weight = both[:, :1]
+        if not weight.all():
             return None
-        m = len(both[0]) - 1 if not last else int((np.sqrt(4 * len(both[0]) - 3) - 1) / 2)
-        weight = np.array([s[0] for s in both])
-        speaks = np.stack([(s[1 : m + 1] + 0.5) / (s[0] + 1) for s in both])
-        model = LabelModel(speaks, float(weight[1] / weight.sum()), np.ones(m))
-    repeated = np.zeros(m)
-    for c in (0, 1):
-        mean = both[c][1 : m + 1] / weight[c]
-        cov = both[c][m + 1 :].reshape(m, m) / weight[c] - np.outer(mean, mean)
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        rho = np.clip(cov / np.outer(sd, sd), 0, 1)
-        np.fill_diagonal(rho, 0)
-        repeated = np.maximum(repeated, rho.sum(axis=1))
-    return LabelModel(speaks, model.prior, 1 / (1 + repeated))
-
-
-def fit_classifier(x: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Weights of a ridge logistic regression on soft labels, by Newton's method."""
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], RIDGE)
+        mean = both[:, 1:] / weight
+        sd = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
+        say = np.ones(mean.shape[1])
+        if model is not None:
+            together = _sums(rows, model, 1 / sd, entries)[:, 1:] / weight - mean * (mean / sd).sum(axis=1, keepdims=True)
+            say = 1 / (1 + np.maximum(together / sd - mean * (1 - mean) / sd**2, 0).max(axis=0))
+        model = LabelModel((both[:, 1:] + 0.5) / (weight + 1), float(weight[1, 0] / weight.sum()), say)
+    return model
+
+
+def fit_classifier(row: np.ndarray, at: np.ndarray, value: np.ndarray, size: int, p: np.ndarray) -> np.ndarray:
+    """Weights of a ridge logistic regression on soft labels, by Newton's method with conjugate gradients."""
+
+    def times(v: np.ndarray) -> np.ndarray:
+        return np.bincount(row, value * v[at], len(p))
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.bincount(at, value * v[row], size)
+
+    w, ridge = np.zeros(size), np.full(size, RIDGE)
     ridge[-1] = 1e-6
+    scale = 1 / np.sqrt(1 + np.bincount(at, value * value, size) / 4)
     for _ in range(30):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (q - p) + ridge * w
-        hessian = (x * (q * (1 - q) + 1e-9)[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-6:
+        q = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        bend = q * (1 - q) + 1e-9
+        left = -(back(q - p) + ridge * w)
+        # the step, by conjugate gradients on features of like scale
+        step, r = np.zeros(size), scale * left
+        d, norm = r.copy(), float(r @ r)
+        least = 1e-12 * norm
+        for _ in range(200):
+            if norm <= least or norm < 1e-18:
+                break
+            x = scale * d
+            h = scale * (back(bend * times(x)) + ridge * x)
+            a = norm / float(d @ h)
+            step += a * d
+            r -= a * h
+            norm, before = float(r @ r), norm
+            d = r + norm / before * d
+        w += scale * step
+        if np.abs(scale * step).max() < 1e-6:
             break
     return w
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """One row for each row of ``docs``: the id, held_out, score, predicted and known (the label-model's posterior)."""
+    """One row for each row of ``docs``: the id, held_out, score, predicted and posterior (the label model's)."""
     ship(docs.sparkSession)
     # one label an id; ids without one, or with a null one, are unlabelled
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     known = known.where(~held_out(F.col("id")))
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # most texts have no training label: these don't travel, and the others travel once
-    labelled = marks(known.select(F.xxhash64("id").alias("h")), "h")
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (BITS_A_LABEL * known.count()).bit_length()))
+    labelled = marks(known.select(F.xxhash64("id").alias("h")), "h", bits)
 
     @F.pandas_udf("boolean")
     def may_be_labelled(hashes: pd.Series) -> pd.Series:
@@ -310,7 +380,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     lexicon, n_tox, n_clean = learn_lexicon(staged(train, "train"))
     read = staged(read_features(rows, lexicon), "hits").withColumn("held_out", held_out(F.col("id")))
     fit = staged(read.where(~F.col("held_out")).join(known.hint("merge"), "id", "left").select("id", "hits", "y"), "fit")
-    model = fit_label_model(fit) if n_tox and n_clean else None
+    model = fit_label_model(fit, len(lexicon)) if n_tox and n_clean else None
     if model is None:
         share = n_tox / max(1, n_tox + n_clean)
         return read.select(
@@ -319,24 +389,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
         )
     # a sample that depends on the ids alone; about FIT_ROWS rows at most
     every = -(-max(1, fit.count()) // FIT_ROWS)
-    sample = fit.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).toArrow().to_pandas()
-    hits = np.stack(sample["hits"].to_numpy())
-    y = sample["y"].to_numpy(np.float64, na_value=np.nan)
-    target = np.where(np.isnan(y), model.posterior(voters(hits).astype(np.float64)), y)
-    weights = fit_classifier(features(hits), target)
+    sample = fit.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("hits.*").toArrow().to_pandas()
+    hits = Hits.of(sample["at"], sample["n"], sample["shape"], len(lexicon))
+    weights = fit_classifier(*features(hits), model.posterior(*voters(hits), len(sample)))
     shared = docs.sparkSession.sparkContext.broadcast((model, weights))
 
     @F.pandas_udf("score double, posterior double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, weights = shared.value
+        entries = (len(model.say) - WHOLE) // 3
         for batch in batches:
-            hits = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, len(PATTERNS) + 1))
-            yield pd.DataFrame(
-                {
-                    "score": 1 / (1 + np.exp(-np.clip(features(hits) @ weights, -500, 500))),
-                    "posterior": model.posterior(voters(hits).astype(np.float64)),
-                }
-            )
+            hits = Hits.of(batch["at"], batch["n"], batch["shape"], entries)
+            row, at, value, _ = features(hits)
+            odds = np.bincount(row, value * weights[at], len(batch))
+            yield pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(odds, -500, 500))), "posterior": model.posterior(*voters(hits), len(batch))})
 
     return (
         read.select(F.col("id").alias(id), "held_out", score(F.col("hits")).alias("s"))

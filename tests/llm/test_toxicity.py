@@ -59,16 +59,71 @@ def test_label_model_finds_good_and_repeated_voters(spark):
     hits[:, 2] = rng.random(n) < 0.3  # says nothing
     hits[:, -1] = 100
     known = [float(v) if i % 10 == 0 else None for i, v in enumerate(y)]
-    df = spark.createDataFrame([(h.tolist(), k) for h, k in zip(hits, known)], "hits array<float>, y double")
-    model = T.fit_label_model(df)
+    rows = []
+    for h, k in zip(hits, known):
+        at = [i for i in range(m) if h[i]]
+        rows.append(((at, [int(h[i]) for i in at], h[m:].tolist()), k))
+    df = spark.createDataFrame(rows, f"hits struct<{T.HITS.replace(' array', ': array')}>, y double")
+    model = T.fit_label_model(df, m)
     assert abs(model.prior - 0.3) < 0.05
     assert model.speaks[1][0] > 0.8 > 0.1 > model.speaks[0][0]
     assert abs(model.speaks[1][2] - model.speaks[0][2]) < 0.1
     assert model.say[0] < 0.6 and model.say[2] > model.say[0]
-    found = model.posterior(T.voters(hits).astype(float)) > 0.5
+    sparse = df.select("hits.*").toPandas()
+    found = model.posterior(*T.voters(T.Hits.of(sparse["at"], sparse["n"], sparse["shape"], m)), n) > 0.5
     assert (found == y).mean() > 0.93
 
 
+def test_sums_of_correlations_equal_all_pairs(spark):
+    """The say of a voter against correlations of all pairs, added up one by one."""
+    rng = np.random.default_rng(4)
+    n, m = 600, 5
+    y = (rng.random(n) < 0.4).astype(float)
+    counts = rng.poisson(np.where(y[:, None] > 0, 1.2, 0.3), (n, m))
+    rows = [(([i for i in range(m) if c[i]], [int(x) for x in c if x], [0.0] * len(T.PATTERNS) + [90.0]), float(k)) for c, k in zip(counts, y)]
+    df = spark.createDataFrame(rows, f"hits struct<{T.HITS.replace(' array', ': array')}>, y double")
+    model = T.fit_label_model(df, m)
+    sparse = df.select("hits.*").toPandas()
+    row, at = T.voters(T.Hits.of(sparse["at"], sparse["n"], sparse["shape"], m))
+    votes = np.zeros((n, 3 * m + T.WHOLE))
+    votes[row, at] = 1
+    sums = []
+    for c in (0, 1):
+        some = votes[y == c]
+        cov = np.cov(some.T, bias=True)
+        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+        np.fill_diagonal(cov, 0)
+        sums.append((cov / np.outer(sd, sd)).sum(axis=1))
+    assert np.allclose(model.say, 1 / (1 + np.maximum(np.max(sums, axis=0), 0)))
+
+
+def test_rare_terms_are_learned(spark):
+    rng = np.random.default_rng(7)
+    plain = [f"plain{k}" for k in range(300)]
+
+    def body(extra=()):
+        return " ".join(rng.permutation([*rng.choice(plain, 40), *extra]))
+
+    rows = [(body(), 0) for _ in range(6000)] + [(body(["vilecommon"] * 2), 1) for _ in range(4000)] + [(body(["oddinsult"] * 3), 1) for _ in range(35)]
+    # more than 64 terms, each in as many rows
+    rows += [(body([f"{chr(97 + k // 10)}{chr(97 + k % 10)}{k}slur"] * 2), 1) for k in range(100) for _ in range(30)]
+    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    out = T.toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic")).toPandas().set_index("doc_id").sort_index()
+    predicted = out["predicted"].to_numpy()
+    assert predicted[:6000].sum() == 0
+    assert predicted[6000:10000].all() and predicted[10000:10035].all() and predicted[10035:].all()
+
+
+def test_classifier_reaches_the_optimum():
+    rng = np.random.default_rng(1)
+    x = np.hstack((rng.random((200, 6)) * [1, 1, 5, 20, 0.1, 1], np.ones((200, 1))))
+    p = rng.random(200)
+    row, at = np.nonzero(x)
+    w = T.fit_classifier(row, at, x[row, at], 7, p)
+    gradient = x.T @ (1 / (1 + np.exp(-x @ w)) - p) + np.append(np.full(6, T.RIDGE), 1e-6) * w
+    assert np.abs(gradient).max() < 1e-4
+
+
 def test_stems():
     assert T.stems("ab") == ["ab$"]
     assert T.stems("abcdefgh") == ["abcd", "abcde", "abcdef", "abcdefg", "abcdefgh$"]
