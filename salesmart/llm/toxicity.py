@@ -37,7 +37,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +53,10 @@ ROUNDS = 6
 ROWS_A_TASK = 50_000
 STEMS = (4, 5, 6, 7)
 RIDGE = 1.0
-#: Words whose features a Python worker remembers, and features that it counts at once; longer words are not remembered.
+#: Words whose features a Python worker remembers, or features that it counts at once; longer words are not remembered.
 KEEP, LONG = 200_000, 64
+#: Words of whole documents that are counted at once.
+CHUNK = 100_000
 #: Bits of the bitmap of labelled ids, for each of them and at most.
 BITS_A_LABEL, MOST_BITS = 16, 1 << 30
 
@@ -65,10 +66,13 @@ PATTERNS = (
     r"\b[A-Z]{5,}\b",
     r"\b(?:you|your|u|du|dich|ihr|tu|vous|toi|t[uú]|usted)\b\W+(?:\w+\W+){0,2}(?:are|is|bist|seid|es|êtes|eres)\b",
     r"\w[*#@$%]{2,}\w?",
-    r"(\w)\1{3,}",
 )
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+_WORD = re.compile(r"[^\W_]+")
 _PATTERNS = [re.compile(p) for p in PATTERNS]
+#: A word with a letter drawn out.
+_DRAWN = re.compile(r"(.)\1{3,}")
+#: Counts of a document besides its entries: the patterns, drawn-out words, and last all words.
+SHAPE = len(PATTERNS) + 2
 
 
 def stems(word: str) -> list[str]:
@@ -96,31 +100,69 @@ def _found(words: list[str], known: dict, of) -> Counter:
     return seen
 
 
+class _Stems(dict):
+    """Rows of a table of features by word; a row has their numbers, and -1 for those that the word lacks."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: dict[str, int] = {}
+        self.rows: list[list[int]] = []
+        self.letters = 0
+
+    def full(self) -> bool:
+        return len(self.names) >= KEEP or self.letters >= KEEP * LONG
+
+    def __missing__(self, word: str) -> int:
+        at = [self.names.setdefault(x, len(self.names)) for x in stems(word)]
+        self.rows.append(at + [-1] * (len(STEMS) + 1 - len(at)))
+        self[word] = len(self.rows) - 1
+        self.letters += len(word)
+        return len(self.rows) - 1
+
+
 def stem_counts(train: DataFrame) -> DataFrame:
     """(stem, c1, c2, t1, t2): clean and toxic documents of ``train`` (text, y) that hold a feature, and hold it twice."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict = {}
-        held: dict[str, list[int]] = {}
-
-        def flush() -> pd.DataFrame:
-            table = np.array(list(held.values()), np.int64).reshape(-1, 4)
-            return pd.DataFrame({"stem": list(held), "c1": table[:, 0], "c2": table[:, 1], "t1": table[:, 2], "t2": table[:, 3]})
+        known, held = _Stems(), np.zeros((4, 0), np.int64)
+        words: list[int] = []
+        sizes: list[int] = []
+        classes: list[int] = []
+
+        def add() -> None:
+            nonlocal held
+            size = len(known.names)
+            table = np.array(known.rows, np.int64).reshape(-1, len(STEMS) + 1)
+            # a number for each document and feature, as often as it stands there
+            found = table[np.array(words, np.int64)]
+            doc = np.repeat(np.arange(len(sizes)), sizes)[:, None]
+            keys = np.sort((doc * size + found)[found >= 0])
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+            often = np.diff(np.append(first, len(keys)))
+            doc, stem = np.divmod(keys[first], max(1, size))
+            toxic = np.array(classes, bool)[doc]
+            held = np.pad(held, ((0, 0), (0, size - held.shape[1])))
+            for k, some in enumerate((~toxic, ~toxic & (often > 1), toxic, toxic & (often > 1))):
+                held[k] += np.bincount(stem[some], minlength=size)
+            words.clear(), sizes.clear(), classes.clear()
+
+        def counted() -> pd.DataFrame:
+            names = pd.Series(list(known.names), dtype=object)
+            return pd.DataFrame({"stem": names, "c1": held[0], "c2": held[1], "t1": held[2], "t2": held[3]})
 
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"]):
-                at = 2 if y else 0
-                for stem, n in _found(_words(text), known, stems).items():
-                    row = held.get(stem)
-                    if row is None:
-                        row = held[stem] = [0, 0, 0, 0]
-                    row[at] += 1
-                    if n > 1:
-                        row[at + 1] += 1
-                if len(held) >= KEEP:
-                    yield flush()
-                    held.clear()
-        yield flush()
+                found = _words(text)
+                words += [known[w] for w in found]
+                sizes.append(len(found))
+                classes.append(y)
+                if len(words) >= CHUNK:
+                    add()
+                    if known.full():
+                        yield counted()
+                        known, held = _Stems(), np.zeros((4, 0), np.int64)
+        add()
+        yield counted()
 
     parts = train.select("text", F.col("y").cast("int").alias("y")).mapInPandas(count, "stem string, c1 long, c2 long, t1 long, t2 long")
     return parts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("c1", "c2", "t1", "t2")])
@@ -179,15 +221,17 @@ def read_features(docs: DataFrame, lexicon: list[str]) -> DataFrame:
         place, known = shared.value, {}
 
         def entries(word: str) -> tuple[int, ...]:
-            return tuple([place[s] for s in stems(word) if s in place])
+            return tuple([place[s] for s in stems(word) if s in place] + [-1] * (_DRAWN.search(word) is not None))
 
         for batch in batches:
             out = []
             for text in batch:
                 words = _words(text)
-                seen = sorted(_found(words, known, entries).items())
+                seen = _found(words, known, entries)
+                drawn = seen.pop(-1, 0)
+                seen = sorted(seen.items())
                 shape = [sum(1 for _ in p.finditer(text)) if text else 0 for p in _PATTERNS]
-                out.append(([i for i, _ in seen], [n for _, n in seen], [float(x) for x in (*shape, len(words))]))
+                out.append(([i for i, _ in seen], [n for _, n in seen], [float(x) for x in (*shape, drawn, len(words))]))
             yield pd.DataFrame(out, columns=["at", "n", "shape"], dtype=object)
 
     return docs.withColumn("hits", hits(F.col("text"))).drop("text")
@@ -210,7 +254,7 @@ class Hits:
 
         return cls(
             entries, np.repeat(np.arange(len(at)), [len(x) for x in at]), flat(at), flat(n),
-            np.stack(shape.to_numpy()).astype(np.float64) if len(shape) else np.zeros((0, len(PATTERNS) + 1)),
+            np.stack(shape.to_numpy()).astype(np.float64) if len(shape) else np.zeros((0, SHAPE)),
         )
 
     @property
@@ -236,22 +280,19 @@ def voters(hits: Hits) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Voters on the whole document.
-WHOLE = 6 + 2 * len(PATTERNS)
+WHOLE = 6 + 2 * (SHAPE - 1)
 
 
-def features(hits: Hits) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(row, feature, value) of the classifier, and the number of features; the last one is constant."""
+def features(hits: Hits) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature, value) of the entries, and (row, value) of the features of whole documents; the last one is constant."""
     patterns, words = hits.shape[:, :-1], np.maximum(hits.shape[:, -1:], 1)
     total, m = hits.total[:, None], hits.entries
     whole = np.hstack(
         (np.log1p(total), np.log1p(100 * total / words), np.log1p(patterns), np.log1p(100 * patterns / words), np.log(words) / 5,
          np.ones_like(words))
     )
-    size = 3 * m + whole.shape[1]
     of = (np.log1p(hits.n), (hits.n >= 2).astype(float), np.log1p(100 * hits.n / words[hits.row, 0]))
-    row = np.concatenate((np.tile(hits.row, 3), np.repeat(np.arange(len(whole)), whole.shape[1])))
-    at = np.concatenate([hits.at + k * m for k in range(3)] + [np.tile(np.arange(3 * m, size), len(whole))])
-    return row, at, np.concatenate((*of, whole.ravel())), size
+    return np.tile(hits.row, 3), np.concatenate([hits.at + k * m for k in range(3)]), np.concatenate(of), whole
 
 
 @dataclass
@@ -324,18 +365,22 @@ def fit_label_model(rows: DataFrame, entries: int) -> LabelModel | None:
     return model
 
 
-def fit_classifier(row: np.ndarray, at: np.ndarray, value: np.ndarray, size: int, p: np.ndarray) -> np.ndarray:
-    """Weights of a ridge logistic regression on soft labels, by Newton's method with conjugate gradients."""
+def fit_classifier(row: np.ndarray, at: np.ndarray, value: np.ndarray, whole: np.ndarray, entries: int, p: np.ndarray) -> np.ndarray:
+    """Weights of a ridge logistic regression on soft labels, by Newton's method with conjugate gradients.
+
+    ``entries`` features are given by (row, at, value), the others follow as a table.
+    """
+    size = entries + whole.shape[1]
 
     def times(v: np.ndarray) -> np.ndarray:
-        return np.bincount(row, value * v[at], len(p))
+        return np.bincount(row, value * v[at], len(p)) + whole @ v[entries:]
 
     def back(v: np.ndarray) -> np.ndarray:
-        return np.bincount(at, value * v[row], size)
+        return np.concatenate((np.bincount(at, value * v[row], entries), v @ whole))
 
     w, ridge = np.zeros(size), np.full(size, RIDGE)
     ridge[-1] = 1e-6
-    scale = 1 / np.sqrt(1 + np.bincount(at, value * value, size) / 4)
+    scale = 1 / np.sqrt(1 + np.concatenate((np.bincount(at, value * value, entries), (whole * whole).sum(axis=0))) / 4)
     for _ in range(30):
         q = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
         bend = q * (1 - q) + 1e-9
@@ -391,7 +436,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     every = -(-max(1, fit.count()) // FIT_ROWS)
     sample = fit.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("hits.*").toArrow().to_pandas()
     hits = Hits.of(sample["at"], sample["n"], sample["shape"], len(lexicon))
-    weights = fit_classifier(*features(hits), model.posterior(*voters(hits), len(sample)))
+    weights = fit_classifier(*features(hits), 3 * len(lexicon), model.posterior(*voters(hits), len(sample)))
     shared = docs.sparkSession.sparkContext.broadcast((model, weights))
 
     @F.pandas_udf("score double, posterior double")
@@ -400,8 +445,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
         entries = (len(model.say) - WHOLE) // 3
         for batch in batches:
             hits = Hits.of(batch["at"], batch["n"], batch["shape"], entries)
-            row, at, value, _ = features(hits)
-            odds = np.bincount(row, value * weights[at], len(batch))
+            row, at, value, whole = features(hits)
+            odds = np.bincount(row, value * weights[at], len(batch)) + whole @ weights[3 * entries :]
             yield pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(odds, -500, 500))), "posterior": model.posterior(*voters(hits), len(batch))})
 
     return (

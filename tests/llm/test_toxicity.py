@@ -53,7 +53,7 @@ def test_label_model_finds_good_and_repeated_voters(spark):
     rng = np.random.default_rng(3)
     n, m = 4000, 3
     y = rng.random(n) < 0.3
-    hits = np.zeros((n, m + len(T.PATTERNS) + 1), np.float32)
+    hits = np.zeros((n, m + T.SHAPE), np.float32)
     hits[:, 0] = np.where(rng.random(n) < np.where(y, 0.9, 0.02), 1, 0)  # good
     hits[:, 1] = hits[:, 0]  # says the same again
     hits[:, 2] = rng.random(n) < 0.3  # says nothing
@@ -80,7 +80,7 @@ def test_sums_of_correlations_equal_all_pairs(spark):
     n, m = 600, 5
     y = (rng.random(n) < 0.4).astype(float)
     counts = rng.poisson(np.where(y[:, None] > 0, 1.2, 0.3), (n, m))
-    rows = [(([i for i in range(m) if c[i]], [int(x) for x in c if x], [0.0] * len(T.PATTERNS) + [90.0]), float(k)) for c, k in zip(counts, y)]
+    rows = [(([i for i in range(m) if c[i]], [int(x) for x in c if x], [0.0] * (T.SHAPE - 1) + [90.0]), float(k)) for c, k in zip(counts, y)]
     df = spark.createDataFrame(rows, f"hits struct<{T.HITS.replace(' array', ': array')}>, y double")
     model = T.fit_label_model(df, m)
     sparse = df.select("hits.*").toPandas()
@@ -118,8 +118,8 @@ def test_classifier_reaches_the_optimum():
     rng = np.random.default_rng(1)
     x = np.hstack((rng.random((200, 6)) * [1, 1, 5, 20, 0.1, 1], np.ones((200, 1))))
     p = rng.random(200)
-    row, at = np.nonzero(x)
-    w = T.fit_classifier(row, at, x[row, at], 7, p)
+    row, at = np.nonzero(x[:, :4])
+    w = T.fit_classifier(row, at, x[row, at], x[:, 4:], 4, p)
     gradient = x.T @ (1 / (1 + np.exp(-x @ w)) - p) + np.append(np.full(6, T.RIDGE), 1e-6) * w
     assert np.abs(gradient).max() < 1e-4
 
@@ -127,3 +127,25 @@ def test_classifier_reaches_the_optimum():
 def test_stems():
     assert T.stems("ab") == ["ab$"]
     assert T.stems("abcdefgh") == ["abcd", "abcde", "abcdef", "abcdefg", "abcdefgh$"]
+
+
+def test_counts_of_stems_against_one_by_one(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    words = ["stupid", "stupidly", "a", "Grüße", "grüßen", "x" * 90, "n0", "n01"]
+    docs = [(" ".join(rng.choice(words, rng.integers(0, 9))), int(rng.integers(0, 2))) for _ in range(200)] + [(None, 1), ("", 0)]
+    want = {}
+    for t, y in docs:
+        seen = {}
+        for w in T._words(t):
+            for x in T.stems(w):
+                seen[x] = seen.get(x, 0) + 1
+        for x, k in seen.items():
+            row = want.setdefault(x, [0, 0, 0, 0])
+            row[2 * y] += 1
+            row[2 * y + 1] += k > 1
+    df = spark.createDataFrame(docs, "text string, y int")
+    for chunk, keep in ((T.CHUNK, T.KEEP), (20, 5)):
+        monkeypatch.setattr(T, "CHUNK", chunk)
+        monkeypatch.setattr(T, "KEEP", keep)
+        assert {r.stem: [r.c1, r.c2, r.t1, r.t2] for r in T.stem_counts(df).collect()} == want
+    assert T.stem_counts(df.where("false")).count() == 0
