@@ -4,7 +4,9 @@ Spark's JDBC writer commits per partition, so a load that fails halfway leaves
 half of its rows. This data source (``batched_insert``) loads as one:
 
 * each task inserts its rows in batches of 10,000 and a remainder into a load
-  table beside the target, marked with the task's attempt, and commits them there;
+  table beside the target, marked with the task's attempt, and commits them there
+  a few batches at a time. Rows are fetched and converted between these commits,
+  so a database that lets one task write at a time is held for the inserts alone;
 * when all tasks have reported, the driver moves the rows of exactly the
   reported attempts into the target, in one transaction: rows of lost or
   repeated attempts stay behind. With ``overwrite`` the same transaction empties the target
@@ -31,15 +33,22 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal
+from itertools import chain, islice, repeat
 
+import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition,
+                                    WriterCommitMessage)
 
 FORMAT = "batched_insert"
 #: Rows of a batch unless the caller says otherwise.
 BATCH_ROWS = 10_000
+#: Batches that a task gathers and commits together.
+COMMIT_BATCHES = 10
+#: Types whose values are the same Python objects from an Arrow column as from a row.
+PLAIN = (T.IntegralType, T.DoubleType, T.BooleanType, T.StringType, T.DecimalType, T.DateType)
 
 
 class LoadError(RuntimeError):
@@ -58,6 +67,14 @@ def _as_text(value):
     return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else value
 
 
+def _texts(column: pa.Array) -> list:
+    """``_as_text`` of a column's values."""
+    if pa.types.is_decimal(column.type):
+        # small numbers come with an exponent
+        return [format(Decimal(x), "f") if x and "E" in x else x for x in column.cast(pa.string()).to_pylist()]
+    return [*map(_as_text, column.to_pylist())] if pa.types.is_date(column.type) else column.to_pylist()
+
+
 def _from_text(value, kind: T.DataType):
     if value is None:
         return None
@@ -100,28 +117,34 @@ class BatchedWriter(DataSourceWriter):
     def _names(self) -> str:
         return ", ".join(self.columns)
 
+    def _rows(self, iterator: Iterator, attempt: int) -> Iterator[tuple]:
+        """What is inserted of each row: its values, and the attempt."""
+        convert = _as_text if self.options.get("types") == "text" else lambda v: v
+        return ((*map(convert, row), attempt) for row in iterator)
+
     def write(self, iterator: Iterator) -> Loaded:
         size = int(self.options.get("batch_rows", BATCH_ROWS))
-        convert = _as_text if self.options.get("types") == "text" else lambda v: v
         attempt = TaskContext.get().taskAttemptId()
         marks = ", ".join([self.mark] * (len(self.columns) + 1))
         insert = f"INSERT INTO {self.load} ({self._names()}, load_attempt) VALUES ({marks})"
-        con, batch, done = _open(self.options), [], Loaded(attempt, 0, 0)
+        con, batches, done = _open(self.options), [], Loaded(attempt, 0, 0)
 
         def send() -> None:
-            con.cursor().executemany(insert, batch)
-            done.rows += len(batch)
-            done.batches += 1
-            batch.clear()
+            # no transaction is open before this, and none after
+            for batch in batches:
+                con.cursor().executemany(insert, batch)
+                done.rows += len(batch)
+                done.batches += 1
+            con.commit()
+            batches.clear()
 
         try:
-            for row in iterator:
-                batch.append((*map(convert, row), attempt))
-                if len(batch) == size:
+            rows = self._rows(iterator, attempt)
+            while batch := list(islice(rows, size)):
+                batches.append(batch)
+                if len(batches) == COMMIT_BATCHES:
                     send()
-            if batch:
-                send()
-            con.commit()
+            send()
         except BaseException:
             con.rollback()
             raise
@@ -165,6 +188,14 @@ class BatchedWriter(DataSourceWriter):
             con.close()
 
 
+class ArrowBatchedWriter(BatchedWriter, DataSourceArrowWriter):
+    """The same for columns of ``PLAIN`` types: their values are taken from whole Arrow columns."""
+
+    def _rows(self, iterator: Iterator[pa.RecordBatch], attempt: int) -> Iterator[tuple]:
+        values = _texts if self.options.get("types") == "text" else pa.Array.to_pylist
+        return chain.from_iterable(zip(*map(values, batch.columns), repeat(attempt)) for batch in iterator)
+
+
 @dataclass
 class KeyRange(InputPartition):
     low: int
@@ -210,7 +241,8 @@ class BatchedInsert(DataSource):
         return FORMAT
 
     def writer(self, schema: T.StructType, overwrite: bool) -> BatchedWriter:
-        return BatchedWriter(schema, dict(self.options), overwrite)
+        plain = all(isinstance(f.dataType, PLAIN) for f in schema.fields)
+        return (ArrowBatchedWriter if plain else BatchedWriter)(schema, dict(self.options), overwrite)
 
     def reader(self, schema: T.StructType) -> RangeReader:
         return RangeReader(schema, dict(self.options))

@@ -132,3 +132,56 @@ def test_values(spark, path):
     load(frame(spark, 9), path)
     row = back(spark, path).filter("id = 7").first()
     assert tuple(row) == (7, Decimal("0.8750"), dt.date(2026, 1, 8), "x")
+
+
+def test_the_database_is_held_for_the_inserts_alone():
+    """Rows are fetched while no transaction is open: tasks of a database with one writer don't wait for each other's."""
+    from pyspark.sql import types as T
+
+    from salesmart.sources import batched
+
+    log = []
+
+    class Connection:
+        def cursor(self):
+            return self
+
+        def executemany(self, statement, rows):
+            log.append("insert")
+
+        def execute(self, statement):
+            pass
+
+        def commit(self):
+            log.append("commit")
+
+        rollback = close = lambda self: None
+
+    def source():
+        for i in range(30):
+            log.append("fetch")
+            yield (i,)
+
+    context = type("C", (), {"get": staticmethod(lambda: type("T", (), {"taskAttemptId": staticmethod(lambda: 5)}))})
+    plain, was = batched._open, batched.TaskContext
+    batched._open, batched.TaskContext = lambda options: Connection(), context
+    try:
+        writer = batched.BatchedWriter(T.StructType([T.StructField("id", T.LongType())]), {"table": "t", "batch_rows": "2"}, False)
+        done = writer.write(source())
+    finally:
+        batched._open, batched.TaskContext = plain, was
+    assert (done.rows, done.batches) == (30, 15) and log.count("insert") == 15
+    opened = [b for a, b in zip(log, log[1:]) if a == "insert"]
+    assert "fetch" not in opened and log[-1] == "commit"
+
+
+def test_values_of_columns_are_those_of_rows():
+    import pyarrow as pa
+
+    from salesmart.sources import batched
+
+    values = [Decimal("0.0000000012"), Decimal("0E-10"), Decimal("-12.5000000000"), None]
+    assert batched._texts(pa.array(values, pa.decimal128(20, 10))) == [
+        None if v is None else format(v.quantize(Decimal("1E-10")), "f") for v in values]
+    for column in ([dt.date(2026, 1, 2), None], [1, None], ["E", None], [True, None], [0.5, None]):
+        assert batched._texts(pa.array(column)) == [batched._as_text(v) for v in column]
