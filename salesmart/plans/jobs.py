@@ -58,9 +58,12 @@ def refresh_sales_mart(spark: SparkSession, erp: Mapping[str, DataFrame], histor
 
 
 def copy_transactions(source: DataFrame, history_root: str, *,
-                      ddl=R.TRANSACTIONS_DDL, control_total: int | None = None) -> RefreshReport:
+                      ddl=R.TRANSACTIONS_DDL, control_total: int | None = None, rebalance: bool = True) -> RefreshReport:
     """Job B into a published table: typed, all-or-nothing, reconciled.
 
+    ``rebalance=False`` is for a source that ends in a join or a scan of many
+    splits, whose tasks follow its size already (:meth:`History.full_replace`).
+
     ``control_total`` is the source's ``COUNT(*)`` taken as its own
     statement (over JDBC Spark pushes the count into the database); when it
     is not given it is computed here with a count over the source.
@@ -68,7 +71,8 @@ def copy_transactions(source: DataFrame, history_root: str, *,
     spark = source.sparkSession
     typed = apply_contract(source, ddl)
     expected = control_total if control_total is not None else source.agg(F.count(F.lit(1))).first()[0]
-    report = History(spark, history_root, date_col=None).full_replace(typed, expected_rows=expected)
+    report = History(spark, history_root, date_col=None).full_replace(
+        typed, expected_rows=expected, rebalance=rebalance)
     log.info("transactions v%d: %d rows copied (control total %d)", report.version,
              report.rows_written, expected)
     return report

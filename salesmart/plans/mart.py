@@ -170,6 +170,10 @@ def site_cities(erp: Mapping[str, DataFrame], how: str) -> DataFrame:
             .select("site_use_id", "city"))
 
 
+def _unreadable(headers: DataFrame) -> DataFrame:
+    return headers.filter(F.col("ct_reference").isNotNull() & order_reference("ct_reference").isNull())
+
+
 def rejected_rows(headers: DataFrame) -> DataFrame:
     """The given invoices whose order reference stands for no order number, each with the reason.
 
@@ -180,13 +184,13 @@ def rejected_rows(headers: DataFrame) -> DataFrame:
     huge = number.isNull() & (size > 1) & (size < float("inf"))
     reason = (F.when(huge, "too large").when(number.isNull(), "no number").when(number != F.floor(number), "no whole number")
               .otherwise("too large"))
-    return (headers.filter(F.col("ct_reference").isNotNull() & order_reference("ct_reference").isNull())
+    return (_unreadable(headers)
             .select("customer_trx_id", "trx_number", "trx_date", "ct_reference", reason.alias("reason")))
 
 
 def rejected_references(headers: DataFrame) -> DataFrame:
     """One row: how many order references of the given invoices are no order numbers."""
-    return rejected_rows(headers).agg(F.count(F.lit(1)).alias("rejected_references"))
+    return _unreadable(headers).agg(F.count(F.lit(1)).alias("rejected_references"))
 
 
 def adjustments(erp: Mapping[str, DataFrame], rules: R.MartRules, invoices: DataFrame) -> DataFrame:

@@ -300,16 +300,18 @@ class History:
             return 0
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).count()
 
-    def full_replace(self, df: DataFrame, *, expected_rows: int | None = None) -> RefreshReport:
+    def full_replace(self, df: DataFrame, *, expected_rows: int | None = None, rebalance: bool = True) -> RefreshReport:
         """Replace everything with ``df`` (TRUNCATE + load, in one publish step).
 
         ``expected_rows`` is a control total taken separately from the source
         (``COUNT(*)``); when the rows written differ, nothing is published.
+        With ``rebalance`` the files follow the data's size, also when the source came
+        through few tasks; it sends whole rows through a shuffle, which a source whose tasks
+        follow its size can do without.
         """
         version = self.version() + 1
         run_dir = self._run_dir(version)
-        # the files follow the data's size, also when the source came through few tasks
-        df.hint("rebalance").write.parquet(run_dir)
+        (df.hint("rebalance") if rebalance else df).write.parquet(run_dir)
         n = self._written(run_dir, df.schema)
         if expected_rows is not None and n != expected_rows:
             raise PublishError(f"control total {expected_rows} != rows written {n}; nothing was published")

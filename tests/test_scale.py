@@ -180,3 +180,43 @@ def test_cutoff_and_window_do_not_depend_on_time_zone(spark):  # literals are zo
     for zone in ("UTC", "America/New_York", "Asia/Jakarta", "Pacific/Kiritimati"):
         with conf(spark, spark__sql__session__timeZone=zone):
             assert result() == expected, zone
+
+
+def test_transactions_send_the_lines_twice_at_most(spark, monkeypatch):
+    """Above the lines stand two joins (parts, orders with their buyers), and the 32 columns are written without a further shuffle."""
+    import json
+
+    from salesmart import queries
+
+    schemas = queries.driver_frames.__globals__["DRIVER_SCHEMAS"]
+    monkeypatch.setattr(queries, "driver_frames", lambda s, d: {t: s.createDataFrame([], c) for t, c in schemas.items()})
+    seen = {}
+
+    def copy(view, root, **more):
+        seen.update(more, view=view)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "copy_transactions", copy)
+    with pytest.raises(InterruptedError):
+        queries.q_transactions_copy(spark, "")
+    nodes = iter(json.loads(seen["view"]._jdf.queryExecution().analyzed().toJSON()))
+
+    def above_lines(joins=0):
+        node = next(nodes)
+        joins += node["class"].endswith(".Join")
+        found = [above_lines(joins) for _ in range(node["num-children"])]
+        if not found:
+            return joins if "l_orderkey" in json.dumps(node) else None
+        return next((f for f in found if f is not None), None)
+
+    assert above_lines() == 2 and seen["rebalance"] is False
+
+
+def test_a_replace_without_rebalance_writes_what_its_tasks_hold(spark, tmp_path):
+    from salesmart.plans import History
+
+    df = spark.range(300).repartition(3)
+    for rebalance, files in ((True, 1), (False, 3)):
+        hist = History(spark, str(tmp_path / str(rebalance)), date_col=None)
+        assert hist.full_replace(df, expected_rows=300, rebalance=rebalance).rows_written == 300
+        assert len(hist.read().inputFiles()) == files and sorted(r.id for r in hist.read().collect()) == [*range(300)]
