@@ -6,9 +6,10 @@ line table is the largest there is and has no date of its own:
 
 * as it comes, it is scanned once. Of other lines than those with an id between
   the window's first and last invoice only return lines pass the scan (both
-  conditions are pushed down). One outer join marks the lines of the window;
-  return lines of other invoices must come through it too, so it is no inner
-  join with a Bloom filter;
+  conditions are pushed down). The lines of the window are marked by a bit for
+  each invoice id (:func:`id_bits`), a table small enough to be broadcast where the
+  ids are not, so the lines need not travel; return lines of other invoices
+  pass unmarked;
 * landed by invoice month (:func:`salesmart.sources.land_lines_by_month`), the
   months outside the window are never listed: the scan of the lines is pruned
   by the months that the window's headers have (dynamic partition pruning),
@@ -65,6 +66,23 @@ def lines_of_months(monthly: DataFrame, headers: DataFrame) -> DataFrame:
     return pruned.join(headers.select("customer_trx_id"), "customer_trx_id", "left_semi").drop(LINE_MONTH, "is_return")
 
 
+def id_bits(ids: DataFrame, id: str) -> DataFrame:
+    """Which ids there are: for each block of 4,096 ids its number and 64 words of 64 bits."""
+    of_words = (ids.filter(F.col(id).isNotNull())
+                .groupBy(F.shiftright(id, 6).alias("word"))
+                .agg(F.expr(f"bit_or(shiftleft(1L, CAST({id} & 63 AS INT)))").alias("bits")))
+    return (of_words.groupBy(F.shiftright("word", 6).alias("block"))
+            .agg(F.expr("map_from_entries(collect_list(struct(CAST(word & 63 AS INT) AS at, bits)))").alias("found"))
+            .select("block", F.expr("transform(sequence(0, 63), k -> coalesce(found[k], 0L))").alias("words")))
+
+
+def marked_by(df: DataFrame, bits: DataFrame, id: str, name: str) -> DataFrame:
+    """All rows, with ``name`` telling whether the id is one of those in ``bits`` (:func:`id_bits`)."""
+    bit = F.expr(f"getbit(words[CAST(shiftright({id}, 6) & 63 AS INT)], CAST({id} & 63 AS INT)) = 1")
+    return (df.join(bits, F.shiftright(id, 12) == F.col("block"), "left")
+            .withColumn(name, F.coalesce(bit, F.lit(False))).drop("block", "words"))
+
+
 def window_spine(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEFAULT_RULES) -> Spine:
     """The spine of one run, written under the shared folder."""
     ends = Observation("window_ends")
@@ -81,9 +99,14 @@ def window_spine(erp: Mapping[str, DataFrame], as_of, rules: R.MartRules = R.DEF
         returns = monthly.filter(F.col("is_return")).drop(LINE_MONTH, "is_return")
         return Spine(headers, lines, returns, (headers, lines))
     near = F.col("customer_trx_id").between(ends.get.get("first"), ends.get.get("last")) | previous.isNotNull()
-    inside = headers.select("customer_trx_id").withColumn("in_window", F.lit(True))
-    both = stored(erp["ra_customer_trx_lines_all"].filter(near)
-                  .join(inside, "customer_trx_id", "left")
-                  .filter(F.col("in_window") | previous.isNotNull()), "window_lines")
+    invoices = headers.select("customer_trx_id")
+    bits = stored(id_bits(invoices, "customer_trx_id"), "window_ids")  # of known size, so that Spark may broadcast it
+    # a line comes once for each invoice with its id; ids that repeat are few or none
+    repeated = stored(invoices.groupBy("customer_trx_id").count().filter("count > 1")
+                      .select("customer_trx_id", F.explode(F.expr("array_repeat(true, CAST(count AS INT))")).alias("again")),
+                      "window_repeats")
+    both = stored(marked_by(erp["ra_customer_trx_lines_all"].filter(near), bits, "customer_trx_id", "in_window")
+                  .filter(F.col("in_window") | previous.isNotNull())
+                  .join(repeated, "customer_trx_id", "left").drop("again"), "window_lines")
     return Spine(headers, both.filter("in_window").drop("in_window"), both.filter(previous.isNotNull()).drop("in_window"),
-                 (headers, both))
+                 (headers, bits, repeated, both))

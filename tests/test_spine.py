@@ -104,3 +104,29 @@ def test_months_outside_the_window_are_not_read(spark, landed, tmp_path_factory)
             broken.write(b"no parquet")
     df = S.lines_of_months(with_monthly_lines(erp, path).monthly_lines, window)
     assert others and df.count() > 0
+
+
+def test_marks_of_ids(spark):
+    ids = [0, 1, 63, 64, 4095, 4096, -1, -4096, -4097, 10**15, None, 64]
+    has = spark.createDataFrame([(i,) for i in ids], "i bigint")
+    asked = sorted({n for i in ids if i is not None for n in (i - 1, i, i + 1)}) + [None]
+    rows = S.marked_by(spark.createDataFrame([(i,) for i in asked], "i bigint"), S.id_bits(has, "i"), "i", "known").collect()
+    assert {(r.i, r.known) for r in rows} == {(i, i is not None and i in ids) for i in asked} and len(rows) == len(asked)
+
+
+def test_lines_do_not_travel_for_the_window(spark, landed, monkeypatch):
+    """The ids of the window are too large to be broadcast, their marks are not; invoices that come twice keep their lines twice."""
+    erp, plans, write = dict(parquet_tables(spark, landed)), [], S.stored
+
+    def noted(df, name):
+        if name == "window_lines":
+            plans.append(plan_of(df))
+        return write(df, name)
+
+    monkeypatch.setattr(S, "stored", noted)
+    first = S.window_spine(frames(erp), FX.AS_OF)
+    assert "customer_trx_id" in plans[0] and "BroadcastHashJoin [shiftright(customer_trx_id" in plans[0]
+    once = sorted(r[0] for r in first.lines.select("customer_trx_line_id").collect())
+    erp["ra_customer_trx_all"] = erp["ra_customer_trx_all"].unionByName(erp["ra_customer_trx_all"])
+    twice = S.window_spine(frames(erp), FX.AS_OF)
+    assert sorted(r[0] for r in twice.lines.select("customer_trx_line_id").collect()) == sorted(once * 2) and once
